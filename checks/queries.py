@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.bronze import pipeline, portable
+from checks.oracle import kpis as kpi_sql
 from checks.oracle import marts as mart_sql
 from checks.oracle.gold import COLUMNS as GOLD_COLUMNS
 from checks.oracle.gold import gold_oracle
 from checks.oracle.silver import COLUMNS, silver_ctes
 from checks.oracle.sql import final, with_
-from courierlake.plans import marts
+from courierlake.plans import kpis, marts
+from courierlake.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,7 +22,7 @@ ORACLES: dict[str, str] = {}
 
 
 def register(name: str, query: Query, oracle: str | None = None) -> None:
-    QUERIES[name] = lambda spark, sf: portable(query(spark, sf))
+    QUERIES[name] = lambda spark, sf: portable(query(tune(spark), sf))
     if oracle:
         ORACLES[name] = oracle
 
@@ -60,7 +62,10 @@ def _marts() -> None:
     )
     register(
         "window_lag_growth",
-        lambda s, d: pipeline(s, d).mart_revenue.select(*marts.REVENUE_GRAIN, *growth),
+        # Size limit 0: takes the route for sequences too long for one task.
+        lambda s, d: marts.mart_revenue(pipeline(s, d).star_orders, small_bytes=0).select(
+            *marts.REVENUE_GRAIN, *growth
+        ),
         mart_sql.window_lag_growth,
     )
     register(
@@ -80,6 +85,43 @@ def _marts() -> None:
     )
 
 
+def _kpis() -> None:
+    spark_side: dict[str, Query] = {
+        "kpi_revenue": lambda s, d: kpis.revenue(
+            (p := pipeline(s, d)).fct_orders, p.fct_billing
+        ),
+        "kpi_mrr": lambda s, d: kpis.mrr(pipeline(s, d).fct_billing),
+        "kpi_churn_rate": lambda s, d: kpis.churn_rate(pipeline(s, d).fct_billing),
+        "kpi_delivery_aov": lambda s, d: kpis.delivery_aov(pipeline(s, d).fct_orders),
+        "kpi_monthly_growth": lambda s, d: kpis.monthly_growth(pipeline(s, d).fct_orders),
+        "kpi_cancel_refund_series": lambda s, d: kpis.cancel_refund_series(
+            pipeline(s, d).fct_orders
+        ),
+        "eda_payment_mix": lambda s, d: kpis.payment_mix(
+            (p := pipeline(s, d)).fct_orders, p.fct_payments
+        ),
+        # Size limit 0: takes the route for sequences too long for one task.
+        "eda_pareto": lambda s, d: kpis.pareto(
+            kpis.customer_revenue((p := pipeline(s, d)).silver("orders"), p.stored_customers),
+            small_bytes=0,
+        ),
+        "eda_segment_share": lambda s, d: kpis.segment_share(
+            kpis.customer_revenue((p := pipeline(s, d)).silver("orders"), p.stored_customers)
+        ),
+        "kpi_status_geo": lambda s, d: kpis.status_geo(pipeline(s, d).star_orders),
+        "kpi_rev_per_subscriber": lambda s, d: kpis.revenue_per_subscriber(
+            pipeline(s, d).fct_billing
+        ),
+        "eda_cohort": lambda s, d: kpis.cohorts(
+            (p := pipeline(s, d)).fct_billing, p.stored_restaurants
+        ),
+        "eda_decompose": lambda s, d: kpis.decompose(pipeline(s, d).fct_orders),
+    }
+    for name, query in spark_side.items():
+        register(name, query, kpi_sql.KPIS[name])
+
+
 _silver()
 _gold()
 _marts()
+_kpis()

@@ -1,9 +1,10 @@
 """Windows over long sequences, without bringing a sequence into one task.
 
-Rows are range-partitioned by the full order, which balances any distribution, and that
-layout is written out with each row's partition number so that it can no longer change.
-Each slice is then numbered or summed on its own; what comes before it is a prefix sum
-over one row per slice and group.
+The input is written out first, so that its true size is known. A small one takes a plain
+window. A large one is range-partitioned by the full order, which balances any
+distribution, and that layout is written with each row's partition number so that it can
+no longer change. Each slice is then numbered or summed on its own; what comes before it
+is a prefix sum over one row per slice and group.
 """
 
 from __future__ import annotations
@@ -12,55 +13,58 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from courierlake.operators.skew import SMALL_PLAN_BYTES, planned_bytes
 from courierlake.session import materialize
 
 BLOCK_ROWS = 100_000
 
 
-def _in_slices(df: DataFrame, groups: list[str], order: list[Column]) -> DataFrame:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _in_slices(stored: DataFrame, groups: list[str], order: list[Column]) -> DataFrame:
+    parts = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g).asc_nulls_first() for g in groups] + order
-    ranged = df.repartitionByRange(parts, *keys).withColumn("__slice", F.spark_partition_id())
-    return materialize(ranged, "sequence")
-
-
-def _before_slice(sliced: DataFrame, groups: list[str], value: Column) -> DataFrame:
-    """Total of ``value`` over all earlier slices of the group; one row per slice and group."""
-    per_slice = sliced.groupBy(*groups, "__slice").agg(value.alias("__total"))
-    earlier = Window.partitionBy(*groups).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    return per_slice.select(
-        *[F.col(g).alias(f"__b_{g}") for g in groups],
-        F.col("__slice").alias("__b_slice"),
-        F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__before"),
-    )
+    ranged = stored.repartitionByRange(parts, *keys).withColumn("_slice", F.spark_partition_id())
+    return materialize(ranged, "slices")
 
 
 def _with_before(sliced: DataFrame, groups: list[str], value: Column) -> DataFrame:
-    before = _before_slice(sliced, groups, value)
+    """Add ``_before``: the total of ``value`` over all earlier slices of the row's group."""
+    per_slice = sliced.groupBy(*groups, "_slice").agg(value.alias("_total"))
+    earlier = (
+        Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = per_slice.select(
+        *[F.col(g).alias(f"_b_{g}") for g in groups],
+        F.col("_slice").alias("_b_slice"),
+        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"),
+    )
     if not groups:
         before = F.broadcast(before)  # one row per shuffle partition
-    same = F.col("__slice") == F.col("__b_slice")
+    same = F.col("_slice") == F.col("_b_slice")
     for g in groups:
-        same = same & F.col(g).eqNullSafe(F.col(f"__b_{g}"))
-    return sliced.join(before, same, "left").drop("__b_slice", *[f"__b_{g}" for g in groups])
+        same = same & F.col(g).eqNullSafe(F.col(f"_b_{g}"))
+    return sliced.join(before, same, "left").drop("_b_slice", *[f"_b_{g}" for g in groups])
 
 
-def number_rows(df: DataFrame, groups: list[str], order: list[Column], name: str) -> DataFrame:
-    """0-based position of each row in its group. ``order`` must be total."""
-    sliced = _with_before(_in_slices(df, groups, order), groups, F.count("*"))
-    local = Window.partitionBy(*groups, "__slice").orderBy(*order)
-    position = F.col("__before") + F.row_number().over(local) - 1
-    return sliced.withColumn(name, position).drop("__before", "__slice")
+def number_rows(stored: DataFrame, groups: list[str], order: list[Column], name: str) -> DataFrame:
+    """0-based position of each row in its group, sliced. ``order`` must be total."""
+    sliced = _with_before(_in_slices(stored, groups, order), groups, F.count("*"))
+    local = Window.partitionBy(*groups, "_slice").orderBy(*order)
+    position = F.col("_before") + F.row_number().over(local) - 1
+    return sliced.withColumn(name, position).drop("_before", "_slice")
 
 
-def running_sum(df: DataFrame, value: str, order: list[Column], name: str) -> DataFrame:
+def running_sum(
+    df: DataFrame, value: str, order: list[Column], name: str, small_bytes: int = SMALL_PLAN_BYTES
+) -> DataFrame:
     """Sum of ``value`` over all rows up to this one. ``order`` must be total."""
-    sliced = _with_before(_in_slices(df, [], order), [], F.sum(value))
-    local = (
-        Window.partitionBy("__slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    total = F.col("__before") + F.sum(value).over(local)
-    return sliced.withColumn(name, total).drop("__before", "__slice")
+    stored = materialize(df, "running_sum")
+    if planned_bytes(stored) <= small_bytes:
+        window = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return stored.withColumn(name, F.sum(value).over(window))
+    sliced = _with_before(_in_slices(stored, [], order), [], F.sum(value))
+    local = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    total = F.col("_before") + F.sum(value).over(local)
+    return sliced.withColumn(name, total).drop("_before", "_slice")
 
 
 def lag_rows(
@@ -68,26 +72,34 @@ def lag_rows(
     groups: list[str],
     order: list[Column],
     lags: dict[str, tuple[str, int]],
+    small_bytes: int = SMALL_PLAN_BYTES,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``LAG(column, offset)`` per group for ``{name: (column, offset)}``.
 
-    The numbered rows of a group are cut into blocks, and the last rows of a block are
-    repeated at the head of the next one, so that no lag reaches out of its block.
+    In a large input the numbered rows of a group are cut into blocks, and the last rows of
+    a block are repeated at the head of the next one, so that no lag reaches out of its
+    block. ``order`` must be total.
     """
     reach = max(offset for _, offset in lags.values())
     if reach > block_rows:
         raise ValueError("block_rows must be at least the largest offset")
-    numbered = number_rows(df, groups, order, "__pos")
-    block = F.floor(F.col("__pos") / F.lit(block_rows)).cast("long")
-    at_tail = F.col("__pos") % F.lit(block_rows) >= F.lit(block_rows - reach)
+
+    def lagged(rows: DataFrame, window) -> DataFrame:
+        columns = [F.lag(c, offset).over(window).alias(name) for name, (c, offset) in lags.items()]
+        return rows.select("*", *columns)
+
+    stored = materialize(df, "lag")
+    if planned_bytes(stored) <= small_bytes:
+        return lagged(stored, Window.partitionBy(*groups).orderBy(*order))
+
+    numbered = number_rows(stored, groups, order, "_pos")
+    block = F.floor(F.col("_pos") / F.lit(block_rows)).cast("long")
+    at_tail = F.col("_pos") % F.lit(block_rows) >= F.lit(block_rows - reach)
     copies = F.when(at_tail, F.array(block, block + 1)).otherwise(F.array(block))
-    blocked = numbered.withColumn("__block", F.explode(copies))
-    window = Window.partitionBy(*groups, "__block").orderBy("__pos")
-    columns = [F.lag(column, offset).over(window).alias(name) for name, (column, offset) in lags.items()]
-    lagged = blocked.select("*", *columns)
-    own = F.floor(F.col("__pos") / F.lit(block_rows)).cast("long") == F.col("__block")
-    return lagged.filter(own).drop("__pos", "__block")
+    blocked = numbered.withColumn("_block", F.explode(copies))
+    result = lagged(blocked, Window.partitionBy(*groups, "_block").orderBy("_pos"))
+    return result.filter(F.col("_block") == block).drop("_pos", "_block")
 
 
 def lag_days(
@@ -97,10 +109,9 @@ def lag_days(
 
     Expects one row per group and date, so a window holds at most a calendar of rows.
     """
-    day = F.datediff(F.col(date), F.lit("1970-01-01").cast("date"))
-    numbered = df.withColumn("__day", day)
+    numbered = df.withColumn("_day", F.unix_date(date))
     out = []
     for name, (column, offset) in lags.items():
-        window = Window.partitionBy(*groups).orderBy("__day").rangeBetween(-offset, -offset)
-        out.append(F.when(F.col("__day").isNotNull(), F.sum(column).over(window)).alias(name))
+        window = Window.partitionBy(*groups).orderBy("_day").rangeBetween(-offset, -offset)
+        out.append(F.when(F.col("_day").isNotNull(), F.sum(column).over(window)).alias(name))
     return numbered.select(*df.columns, *out)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from courierlake.functions import count_if_true, percent, safe_ratio, sum_if
 from courierlake.operators.sequences import lag_days, lag_rows
-from courierlake.operators.skew import lookup_join
+from courierlake.operators.skew import SMALL_PLAN_BYTES, lookup_join
 
 REVENUE_GRAIN = [
     "order_date",
@@ -180,18 +180,16 @@ GROWTH_LAGS = {
 }
 
 
-def mart_revenue(
-    fct_orders: DataFrame, fct_payments: DataFrame, dim_customers: DataFrame, dim_restaurants: DataFrame
-) -> DataFrame:
+def mart_revenue(star: DataFrame, small_bytes: int = SMALL_PLAN_BYTES) -> DataFrame:
     """Daily revenue per customer group and restaurant, with growth over 7 and 30 rows back.
 
     "Back" counts rows of the (segment, cuisine, tier) group in date order; rows of one
     day are put in the order of the remaining grain columns.
     """
-    daily = daily_revenue(star_orders(fct_orders, fct_payments, dim_customers, dim_restaurants))
+    daily = daily_revenue(star)
     rest = [c for c in REVENUE_GRAIN if c not in (*GROWTH_GROUP, "order_date")]
     order = [F.col(c).asc_nulls_last() for c in ["order_date", *rest]]
-    return _with_growth(lag_rows(daily, GROWTH_GROUP, order, GROWTH_LAGS))
+    return _with_growth(lag_rows(daily, GROWTH_GROUP, order, GROWTH_LAGS, small_bytes))
 
 
 def revenue_growth_by_day(star: DataFrame) -> DataFrame:

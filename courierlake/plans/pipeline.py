@@ -90,9 +90,7 @@ class Pipeline:
 
     @cached_property
     def mart_revenue(self) -> DataFrame:
-        return marts.mart_revenue(
-            self.fct_orders, self.fct_payments, self.stored_customers, self.stored_restaurants
-        )
+        return marts.mart_revenue(self.star_orders)
 
     @cached_property
     def revenue_growth_by_day(self) -> DataFrame:

@@ -17,6 +17,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM never compiles a method above 8000 bytes. Wide cleaning projections exceed that
+    # when fused into one stage method; below this limit Spark splits them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -33,6 +36,14 @@ def build_session(master: str | None = None, app: str = "courierlake", **conf: s
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the engine's settings to a session somebody else has built."""
+    for key, value in ENGINE_CONF.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
