@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from checks.generic import GENERIC
 from checks.bronze import pipeline, portable
 from checks.oracle import kpis as kpi_sql
 from checks.oracle import marts as mart_sql
@@ -121,6 +122,12 @@ def _kpis() -> None:
         register(name, query, kpi_sql.KPIS[name])
 
 
+def _generic() -> None:
+    for name, (query, oracle) in GENERIC.items():
+        register(name, query, oracle)
+
+
+_generic()
 _silver()
 _gold()
 _marts()
