@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.generic import GENERIC
+from checks.ingest import INGEST
 from checks.bronze import pipeline, portable
 from checks.oracle import kpis as kpi_sql
 from checks.oracle import marts as mart_sql
@@ -123,7 +124,7 @@ def _kpis() -> None:
 
 
 def _generic() -> None:
-    for name, (query, oracle) in GENERIC.items():
+    for name, (query, oracle) in (GENERIC | INGEST).items():
         register(name, query, oracle)
 
 

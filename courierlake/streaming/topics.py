@@ -14,7 +14,7 @@ from courierlake.sources.events import from_messages
 from courierlake.sources.schemas import TOPICS, bronze_schema
 from courierlake.sources.tables import ROWS_PER_LANDED_FILE
 
-MESSAGE_SCHEMA = T.StructType.fromDDL("topic string, key string, value string")
+MESSAGE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("topic", "key", "value")])
 FLUSH_EVERY = "15 seconds"
 LOAD_EVERY = "10 minutes"
 
