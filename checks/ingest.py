@@ -64,12 +64,12 @@ def _topic_messages(spark: SparkSession, sf: str) -> DataFrame:
 # --- batch sources -------------------------------------------------------------------
 
 
-@op("src_csv_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@op("src_csv_roundtrip", "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    nation = table(spark, sf, "nation")
+    orders = table(spark, sf, "orders")
     path = scratch_path(spark, "csv")
-    nation.write.option("header", True).csv(path)
-    return ev.read_csv(spark, path, nation.schema)
+    orders.write.option("header", True).csv(path)
+    return ev.read_csv(spark, path, orders.schema)
 
 
 @op(

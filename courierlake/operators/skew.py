@@ -10,12 +10,12 @@ small skip the split.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from courierlake.session import materialize
+
 MAX_HEAVY_KEYS = 100_000
 MIN_HEAVY_ROWS = 100_000
 # A table of this size fits one task even if a single key owns all of it.
@@ -62,11 +62,13 @@ def lookup_join(
 ) -> DataFrame:
     """``fact LEFT JOIN dim USING (on)`` for a dim with unique keys and any skew in the fact.
 
-    Keeps the fact's columns first. NULL keys match nothing and are not shuffled.
+    Keeps the fact's columns first. NULL keys match nothing and are not shuffled. The split
+    reads the fact three times, so it is written out before.
     """
     if planned_bytes(dim) <= broadcast_limit(dim) or planned_bytes(fact) <= small_bytes:
         return fact.join(dim, on, "left").select(*fact.columns, *[c for c in dim.columns if c != on])
 
+    fact = materialize(fact, "lookup")
     heavy = F.broadcast(heavy_keys(fact.filter(F.col(on).isNotNull()), on, min_heavy_rows).select("__key"))
     heavy_dim = dim.join(heavy, F.col(on) == F.col("__key"), "left_semi")
     no_shuffle = (
@@ -94,25 +96,17 @@ def attach_group_stats(
 
     The result is that of an unordered window per key; NULL is a group of its own.
     """
-    keys = list(dict.fromkeys(key for key, _ in stats.values()))
-    return reduce(
-        lambda acc, key: _attach_for_key(
-            acc, key, {n: a for n, (k, a) in stats.items() if k == key}, min_heavy_rows, small_bytes
-        ),
-        keys,
-        df,
-    )
-
-
-def _attach_for_key(
-    df: DataFrame, key: str, stats: dict[str, Column], min_heavy_rows: int, small_bytes: int
-) -> DataFrame:
-    windowed = {name: agg.over(Window.partitionBy(key)) for name, agg in stats.items()}
-    if planned_bytes(df) <= small_bytes:
-        return df.withColumns(windowed)
-
-    heavy = F.broadcast(heavy_keys(df, key, min_heavy_rows, stats).drop("__rows"))
-    same = F.col(key).eqNullSafe(F.col("__key"))
-    light = df.join(heavy, same, "left_anti").withColumns(windowed)
-    hot = df.join(heavy, same, "inner").select(*df.columns, *stats)
-    return hot.unionByName(light)
+    for n, key in enumerate(dict.fromkeys(key for key, _ in stats.values())):
+        own = {name: agg for name, (k, agg) in stats.items() if k == key}
+        windowed = {name: agg.over(Window.partitionBy(key)) for name, agg in own.items()}
+        if planned_bytes(df) <= small_bytes:
+            df = df.withColumns(windowed)
+            continue
+        if n > 0:  # the split reads its input three times
+            df = materialize(df, "group_stats")
+        heavy = F.broadcast(heavy_keys(df, key, min_heavy_rows, own).drop("__rows"))
+        same = F.col(key).eqNullSafe(F.col("__key"))
+        light = df.join(heavy, same, "left_anti").withColumns(windowed)
+        hot = df.join(heavy, same, "inner").select(*df.columns, *own)
+        df = hot.unionByName(light)
+    return df

@@ -27,8 +27,9 @@ def read_bronze(spark: SparkSession, root: str, topic: str) -> DataFrame:
 
 def table_of_path(root: str, path: Column) -> Column:
     """Upper-cased first folder below ``root``: orders/part-0.parquet belongs to ORDERS."""
-    tail = F.element_at(F.split(path, f"{root.rstrip('/').split('/')[-1]}/", 2), 2)
-    return F.upper(F.substring_index(tail, "/", 1))
+    prefix = root.split(":", 1)[-1].rstrip("/") + "/"
+    below = path.substr(F.locate(prefix, path) + len(prefix), F.length(path))
+    return F.upper(F.substring_index(below, "/", 1))
 
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:

@@ -7,6 +7,7 @@ add nothing twice, and offsets advance only with the files they stand for.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,9 +38,11 @@ def read_topics(
         return reader.load().selectExpr(
             "topic", "CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value"
         )
-    reader = spark.readStream.schema(MESSAGE_SCHEMA).format(fmt).options(**options)
-    wanted = ", ".join(f"'{t}'" for t in topics)
-    return reader.load(source).filter(f"topic IN ({wanted})")
+    reader = spark.readStream.format(fmt).options(**options)
+    if len(topics) == 1:  # list that topic's folder only
+        messages = reader.schema("key string, value string").load(f"{source}/topic={topics[0]}")
+        return messages.select(F.lit(topics[0]).alias("topic"), "key", "value")
+    return reader.schema(MESSAGE_SCHEMA).load(source).filter(F.col("topic").isin(*topics))
 
 
 def _start(writer, drain: bool, every: str) -> StreamingQuery:
