@@ -30,13 +30,17 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def bronze(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """Every source row once, and the re-extracted ones a second time, in a single scan."""
     adapter = ADAPTERS[topic]
-    k = F.col(adapter.key)
-    copies = F.when(k % 10 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = spread(table(spark, sf_dir, adapter.source), adapter.key).withColumns({"k": k, "d": F.explode(copies)})
-    columns = {name: F.expr(expr) for name, expr in adapter.columns.items()}
-    columns["event_type"] = F.lit(f"{topic}_loaded")
-    return rows.select(
-        *[columns[f.name].cast(f.dataType).alias(f.name) for f in bronze_schema(topic)]
+    rows = spread(table(spark, sf_dir, adapter.source), adapter.key).selectExpr(
+        "*",
+        f"{adapter.key} AS k",
+        f"explode(CASE WHEN {adapter.key} % 10 = 3 THEN array(0, 1) ELSE array(0) END) AS d",
+    )
+    columns = adapter.columns | {"event_type": f"'{topic}_loaded'"}
+    return rows.selectExpr(
+        *[
+            f"CAST({columns[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in bronze_schema(topic)
+        ]
     )
 
 

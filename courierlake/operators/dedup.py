@@ -20,7 +20,7 @@ _RN = "_rn"
 
 
 def row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    return F.expr(f"xxhash64({', '.join(f'`{c}`' for c in sorted(df.columns))})")
 
 
 def with_row_hash(df: DataFrame) -> DataFrame:

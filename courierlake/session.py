@@ -27,6 +27,8 @@ def build_session(master: str | None = None, app: str = "courierlake", **conf: s
     """A session with the engine's settings. ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     builder = builder.config("spark.ui.showConsoleProgress", "false")
+    # Recording the Python line of every column expression triples the time to build a plan.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in ENGINE_CONF.items():
