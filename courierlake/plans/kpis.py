@@ -271,7 +271,8 @@ def cohorts(fct_billing: DataFrame, dim_restaurants: DataFrame) -> DataFrame:
 def decompose(fct_orders: DataFrame) -> DataFrame:
     """Monthly revenue as trend (12-month centred mean), cycle (month of year) and noise."""
     calendar = Window.orderBy("order_month")  # one row per month
-    value = F.col("gross_revenue_usd").cast("double")
+    # Decimal means: an exact half cent must not depend on the order of a sum.
+    value = F.col("gross_revenue_usd").cast("decimal(24,8)")
     series = _monthly(fct_orders).select("order_month", value.alias("revenue_usd"))
     series = series.withColumn("trend", F.avg("revenue_usd").over(calendar.rowsBetween(-6, 5)))
     same_month = Window.partitionBy(F.month("order_month"))
