@@ -164,12 +164,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "orders")
-    tables.land(table(spark, sf, "orders"), path)
+    tables.land(table(spark, sf, "orders"), path, tables.FLUSH_ROWS)
     landed = spark.read.parquet(path).select("o_orderkey", F.col("_metadata.file_path").alias("file"))
     per_file = landed.groupBy("file").agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("k"))
     return per_file.agg(
         F.sum("n").alias("rows"),
-        (F.max("n") <= tables.ROWS_PER_LANDED_FILE).alias("within_limit"),
+        (F.max("n") <= tables.FLUSH_ROWS).alias("within_limit"),
         F.sum("k").alias("keys"),
     )
 
@@ -204,17 +204,22 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 # --- streams -------------------------------------------------------------------------
 
 
+def _land_all_topics(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """All topics published, then drained by one stream. Returns messages sent and landed."""
+    log, path, ckpt = (scratch_path(spark, n) for n in ("messages", "landed", "ckpt"))
+    ev.publish(_topic_messages(spark, sf), log, fmt="parquet")
+    st.land_raw(st.read_topics(spark, log, fmt="parquet"), path, ckpt).awaitTermination()
+    read = spark.read.schema(st.MESSAGE_SCHEMA)
+    return read.parquet(log), read.parquet(path)
+
+
 @op(
     "stream_ingest_topics",
     per_topic("SELECT '{t}' AS topic, count(*) AS messages, count(DISTINCT {key}) AS keys FROM {bronze}"),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    log, landed, ckpt = (scratch_path(spark, n) for n in ("messages", "landed", "ckpt"))
-    ev.publish(_topic_messages(spark, sf), log, fmt="parquet")
-    messages = st.read_topics(spark, log, fmt="parquet")
-    st.land_raw(messages, landed, ckpt).awaitTermination()
-    received = spark.read.schema(st.MESSAGE_SCHEMA).parquet(landed)
-    return received.groupBy("topic").agg(
+    _, landed = _land_all_topics(spark, sf)
+    return landed.groupBy("topic").agg(
         F.count("*").alias("messages"), F.countDistinct("key").alias("keys")
     )
 
@@ -389,10 +394,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "landed")
     for topic in TOPICS:
-        tables.land(bronze(spark, sf, topic).select(PRIMARY_KEYS[topic], "event_time"), f"{root}/{topic}")
+        keys = bronze(spark, sf, topic).select(PRIMARY_KEYS[topic], "event_time")
+        tables.land(keys, f"{root}/{topic}", tables.FLUSH_ROWS)
     counted = tables.rows_by_table(spark, root)
     return counted.select(
-        "table", "rows", (F.col("largest_file") <= tables.ROWS_PER_LANDED_FILE).alias("within_limit")
+        "table", "rows", (F.col("largest_file") <= tables.FLUSH_ROWS).alias("within_limit")
     )
 
 
@@ -415,3 +421,13 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     p = pipeline(spark, sf)
     return quality.reconcile({t: (p.bronze(t), p.silver(t), PRIMARY_KEYS[t]) for t in TOPICS})
+
+
+@op(
+    "audit_received_landed",
+    per_topic(
+        "SELECT '{t}' AS topic, count(*) AS received, count(*) AS landed, 0 AS lost FROM {bronze}"
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.received_and_landed(*_land_all_topics(spark, sf))

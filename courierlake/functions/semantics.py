@@ -130,13 +130,18 @@ def number_label(c: Column | str) -> Column:
 
 
 def safe_ratio(numerator: Column, denominator: Column, scale: int = 2) -> Column:
-    """Rounded quotient that is NULL, not an error, for a zero denominator."""
-    return F.round(numerator / F.nullif(denominator, F.lit(0)), scale)
+    """Rounded quotient that is NULL, not an error, for a zero denominator.
+
+    Operands of this size leave the quotient 14 decimals. Spark would cut that of two
+    38-digit sums to 6, and rounding that again can turn 0.00499999 into 0.01.
+    """
+    top, bottom = numerator.cast("decimal(24,6)"), denominator.cast("decimal(24,6)")
+    return F.round(top / F.nullif(bottom, F.lit(0)), scale)
 
 
 def decimal_ratio(numerator: Column, denominator: Column, scale: int = 2) -> Column:
-    """Rounded quotient of a double, divided as a decimal so that halves round up exactly."""
-    return safe_ratio(numerator.cast("decimal(24,6)"), denominator, scale).cast("double")
+    """The same for doubles, back as a double: exact halves round up."""
+    return safe_ratio(numerator, denominator, scale).cast("double")
 
 
 def percent(part: Column, whole: Column) -> Column:

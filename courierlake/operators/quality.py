@@ -106,3 +106,12 @@ def _measures(name: str, counts: DataFrame) -> DataFrame:
     """One side of a reconciliation, with zeros for the other side's columns."""
     values = [F.col(c) if c in counts.columns else F.lit(0).alias(c) for c in RECONCILED]
     return counts.select(F.lit(name).alias("table_name"), *values)
+
+
+def received_and_landed(received: DataFrame, landed: DataFrame, by: str = "topic") -> DataFrame:
+    """Messages received against rows landed per topic; a topic missing on one side counts 0."""
+    sides = received.select(by, F.lit(1).alias("r"), F.lit(0).alias("l")).unionByName(
+        landed.select(by, F.lit(0).alias("r"), F.lit(1).alias("l"))
+    )
+    counted = sides.groupBy(by).agg(F.sum("r").alias("received"), F.sum("l").alias("landed"))
+    return counted.withColumn("lost", F.col("received") - F.col("landed"))

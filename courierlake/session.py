@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,10 +50,12 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only where none is set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="courierlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    return root.rstrip("/") if root else _private_root(spark.sparkContext.applicationId)
+
+
+@cache
+def _private_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"courierlake-{application}-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from courierlake.sources.schemas import TOPICS, bronze_schema
 
-ROWS_PER_LANDED_FILE = 1000
+FLUSH_ROWS = 1000
 
 
 def register_bronze(spark: SparkSession, read: Callable[[str], DataFrame]) -> dict[str, str]:
@@ -38,9 +38,23 @@ def read_landed(spark: SparkSession, root: str) -> DataFrame:
     return files.parquet(root).withColumn("table", table_of_path(root, F.col("_metadata.file_path")))
 
 
-def land(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_LANDED_FILE) -> None:
-    """Append files of at most ``rows_per_file`` rows."""
-    df.write.mode("append").option("maxRecordsPerFile", rows_per_file).parquet(path)
+def land(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
+    """Append files, of at most ``rows_per_file`` rows if given.
+
+    A limit as low as ``FLUSH_ROWS`` suits a trickle of events. A bulk load should leave the
+    file size to its partitions, or else it buries the reader in small files.
+    """
+    writer = df.write.mode("append")
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(path)
+
+
+def compact(spark: SparkSession, path: str, target: str) -> DataFrame:
+    """Rewrite many small files as few of Spark's advisory partition size."""
+    rows = spark.read.option("recursiveFileLookup", True).parquet(path)
+    rows.hint("rebalance").write.parquet(target)
+    return spark.read.schema(rows.schema).parquet(target)
 
 
 def append_table(df: DataFrame, schema: str, table: str, root: str) -> str:

@@ -13,7 +13,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from courierlake.sources.events import from_messages
 from courierlake.sources.schemas import TOPICS, bronze_schema
-from courierlake.sources.tables import ROWS_PER_LANDED_FILE
 
 MESSAGE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("topic", "key", "value")])
 FLUSH_EVERY = "15 seconds"
@@ -57,11 +56,17 @@ def land_raw(messages: DataFrame, path: str, checkpoint: str, drain: bool = True
 
 
 def land_events(
-    messages: DataFrame, schema: T.StructType, path: str, checkpoint: str, drain: bool = True
+    messages: DataFrame,
+    schema: T.StructType,
+    path: str,
+    checkpoint: str,
+    drain: bool = True,
+    rows_per_file: int | None = None,
 ) -> StreamingQuery:
     """Land one topic's decoded events as typed files; bad messages keep their raw text."""
     writer = from_messages(messages, schema).writeStream.format("parquet").option("path", path)
-    writer = writer.option("maxRecordsPerFile", ROWS_PER_LANDED_FILE)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
     return _start(writer.option("checkpointLocation", checkpoint), drain, FLUSH_EVERY)
 
 

@@ -9,6 +9,7 @@ from checks.bronze import AS_OF, bronze, pipeline
 from courierlake.operators import quality
 from courierlake.plans import kpis, marts
 from courierlake.plans.pipeline import Pipeline
+from courierlake.plans.silver import SILVER
 from courierlake.plans.publish import publish_gold, publish_marts, register_silver
 from courierlake.session import scratch_path
 
@@ -104,6 +105,21 @@ def test_hot_restaurant_and_customer_change_no_result(spark, sf, monkeypatch):
     assert sorted(map(str, plain)) == sorted(map(str, split))
 
 
+@pytest.mark.parametrize("topic,key", [("delivery", "order_id"), ("drivers", "vehicle_plate")])
+def test_hot_groups_change_no_flag(spark, sf, monkeypatch, topic, key):
+    """A third of the rows on one order or plate, on both routes of the group statistics."""
+    from courierlake.operators import skew
+
+    df = bronze(spark, sf, topic)
+    heavy = F.crc32(df.columns[0]) % 3 == 0
+    df = df.withColumn(key, F.when(heavy, "same").otherwise(F.col(key)))
+    plain = SILVER[topic](df, AS_OF).collect()
+    monkeypatch.setattr(skew.attach_group_stats, "__defaults__", (50, 0))
+    split = SILVER[topic](df, AS_OF)
+    assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, plain)) == sorted(map(str, split.collect()))
+
+
 def test_quality_checks_find_what_is_wrong(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", None), (None, 4), (None, 5)], "k string, v int")
     parents = spark.createDataFrame([("a",)], "k string")

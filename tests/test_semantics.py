@@ -104,6 +104,12 @@ def test_ratios_guard_zero_and_round_half_up(spark):
     assert one(spark, fx.percent(F.lit(1), F.lit(8))) == 12.5
 
 
+def test_ratio_of_long_decimals_is_not_rounded_twice(spark):
+    top, bottom = F.lit("1.499999").cast("decimal(38,8)"), F.lit("300").cast("decimal(38,8)")
+    assert one(spark, fx.safe_ratio(top, bottom)) == 0
+    assert one(spark, fx.safe_ratio(F.lit("1.5").cast("decimal(38,8)"), bottom)) == Decimal("0.01")
+
+
 def test_conditional_sum_is_zero_not_null(spark):
     df = spark.createDataFrame([("a", 1)], "k string, v int")
     row = df.agg(fx.sum_if(F.col("k") == "b", "v").alias("s"), fx.count_if_true(F.lit(None).cast("boolean")).alias("c")).first()

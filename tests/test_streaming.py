@@ -96,12 +96,21 @@ def test_upsert_equals_batch_dedup(spark, sf):
 
 def test_landed_files_respect_the_row_limit(spark, sf):
     root = scratch_path(spark, "files")
-    tables.land(bronze(spark, sf, "orders"), f"{root}/orders")
-    tables.land(bronze(spark, sf, "users"), f"{root}/users")
+    for topic in ("orders", "users"):
+        tables.land(bronze(spark, sf, topic), f"{root}/{topic}", tables.FLUSH_ROWS)
     audit = {r["table"]: r for r in tables.rows_by_table(spark, root).collect()}
     assert set(audit) == {"ORDERS", "USERS"}
     assert audit["ORDERS"].rows == bronze(spark, sf, "orders").count()
-    assert all(r.largest_file <= tables.ROWS_PER_LANDED_FILE for r in audit.values())
+    assert all(r.largest_file <= tables.FLUSH_ROWS for r in audit.values())
+
+
+def test_compaction_keeps_rows_and_drops_files(spark, sf):
+    small, big = scratch_path(spark, "small"), scratch_path(spark, "big")
+    reviews = bronze(spark, sf, "reviews")
+    tables.land(reviews, small, 100)
+    files = lambda path: spark.read.parquet(path).select("_metadata.file_path").distinct().count()
+    assert equal(tables.compact(spark, small, big), reviews)
+    assert files(big) < files(small) / 4
 
 
 def test_message_keys_are_primary_keys(spark, sf):
