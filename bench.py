@@ -27,9 +27,7 @@ HEADLINE = [
     "silver_customers",
     "gold_dim_customers",
     "gold_dim_restaurants",
-    "join_star_multi",
     "agg_payments_summary",
-    "mart_revenue_daily",
     "mart_revenue",
     "mart_subscription",
     "window_range_growth",
@@ -37,7 +35,6 @@ HEADLINE = [
     "kpi_churn_rate",
     "eda_cohort",
     "eda_pareto",
-    "dq_relationships",
     "stream_land_parquet",
 ]
 

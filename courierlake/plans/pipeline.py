@@ -17,13 +17,18 @@ class Pipeline:
     """The model graph over a set of bronze tables.
 
     ``bronze(topic)`` returns a bronze table. Silver tables are plans, evaluated inside
-    whatever reads them. Dimensions that a mart joins are written out first: the mart then
-    knows their true size, and two readers do not compute them twice.
+    whatever reads them; a run that builds several models should set ``store_silver``, so
+    that each is cleaned and deduplicated once and its readers scan only their columns.
+    Dimensions that a mart joins are always written out first: the mart then knows their
+    true size, and two readers do not compute them twice.
     """
 
-    def __init__(self, bronze: Callable[[str], DataFrame], as_of: date):
+    def __init__(
+        self, bronze: Callable[[str], DataFrame], as_of: date, store_silver: bool = False
+    ):
         self._bronze = bronze
         self.as_of = as_of
+        self.store_silver = store_silver
         self._silver: dict[str, DataFrame] = {}
 
     def bronze(self, topic: str) -> DataFrame:
@@ -31,7 +36,8 @@ class Pipeline:
 
     def silver(self, topic: str) -> DataFrame:
         if topic not in self._silver:
-            self._silver[topic] = SILVER[topic](self._bronze(topic), self.as_of)
+            table = SILVER[topic](self._bronze(topic), self.as_of)
+            self._silver[topic] = materialize(table, f"silver_{topic}") if self.store_silver else table
         return self._silver[topic]
 
     @cached_property
