@@ -388,7 +388,7 @@ def _line_ties() -> list:
 
 def _line_sql(direction: str) -> str:
     return (
-        "SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate) FROM (SELECT * FROM lineitem "
+        "SELECT * REPLACE (CAST(l_shipdate AS VARCHAR) AS l_shipdate, CAST(l_linenumber AS BIGINT) AS l_linenumber) FROM (SELECT * FROM lineitem "
         "QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber "
         f"ORDER BY l_shipdate {direction}, {_LINE_ORDER}) = 1)"
     )

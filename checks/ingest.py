@@ -426,7 +426,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 @op(
     "audit_received_landed",
     per_topic(
-        "SELECT '{t}' AS topic, count(*) AS received, count(*) AS landed, 0 AS lost FROM {bronze}"
+        "SELECT '{t}' AS topic, count(*) AS received, count(*) AS landed, CAST(0 AS BIGINT) AS lost FROM {bronze}"
     ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
