@@ -4,20 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from courierlake.llm import oracles
 from courierlake.llm.common import table
 from courierlake.llm.exact_dedup import exact_dedup
+from courierlake.llm.packing import pack
+from courierlake.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_token_counts": op4_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
