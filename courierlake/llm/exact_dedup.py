@@ -89,8 +89,9 @@ def directory(texts: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
         .where((F.col("held") <= bucket_rows) | (F.col("depth") == MAX_DEPTH))
     )
     # The first depth at which the bucket of a leaf fits is the depth at which splitting stops.
+    # ``fits`` has at most 2 ** (MAX_DEPTH + 1) rows, so it may go to every task.
     return (
-        levels.join(fits, ["depth", "prefix"])
+        levels.join(F.broadcast(fits), ["depth", "prefix"])
         .groupBy("leaf")
         .agg(F.min("depth").alias("depth"))
         .withColumn(
@@ -129,14 +130,16 @@ def exact_dedup(
     index = build_index(docs, text, doc_id, bucket_rows)
     entries = index.select("key", F.explode("chain").alias("e")).select("key", "e.*")
     total = entries.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    probes = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.xxhash64(normalised(F.col(text))).alias("key"),
-        F.sha2(normalised(F.col(text)), 256).alias("sha"),
+    # Rows that repeat id and text become one row with a number of copies. The hashes are stored,
+    # so that the two ways of the lookup read them instead of the texts.
+    probes = (
+        docs.select(F.col(doc_id).alias("doc_id"), normalised(F.col(text)).alias("bytes"))
+        .select("doc_id", F.xxhash64("bytes").alias("key"), F.sha2("bytes", 256).alias("sha"))
+        .groupBy("doc_id", "key", "sha")
+        .agg(F.count("*").alias("copies"))
     )
-    # Rows that repeat id and text become one row with a number of copies before the shuffle.
     found = lookup(
-        probes.groupBy("doc_id", "key", "sha").agg(F.count("*").alias("copies")),
+        stored(probes, "probes"),
         entries.select("key", "sha", "keep_id", "size"),
         ["key", "sha"],
         "size",

@@ -11,11 +11,16 @@ from courierlake.llm import oracles
 from courierlake.llm.common import table
 from courierlake.llm.exact_dedup import exact_dedup
 from courierlake.llm.packing import pack
+from courierlake.llm.quality import quality_scores
 from courierlake.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -31,6 +36,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_counts": op4_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
