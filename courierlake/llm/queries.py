@@ -12,6 +12,7 @@ from courierlake.llm.common import table
 from courierlake.llm.exact_dedup import exact_dedup
 from courierlake.llm.packing import pack
 from courierlake.llm.quality import quality_scores
+from courierlake.llm.secret_scan import secret_digests
 from courierlake.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_counts": op4_token_counts,
+    "op7_secret_scan": op7_secret_scan,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
