@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from courierlake.llm import oracles
 from courierlake.llm.common import table
 from courierlake.llm.exact_dedup import exact_dedup
+from courierlake.llm.multi_index import nearest
 from courierlake.llm.packing import pack
 from courierlake.llm.quality import quality_scores
 from courierlake.llm.secret_scan import secret_digests
@@ -32,6 +33,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_counts": op4_token_counts,
+    "op6_inverted_multi_index": op6_inverted_multi_index,
     "op7_secret_scan": op7_secret_scan,
     "op8_exact_dedup": op8_exact_dedup,
 }
