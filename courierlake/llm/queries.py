@@ -14,6 +14,7 @@ from courierlake.llm.multi_index import nearest
 from courierlake.llm.packing import pack
 from courierlake.llm.quality import quality_scores
 from courierlake.llm.secret_scan import secret_digests
+from courierlake.llm.sentencepiece_codec import codec_digests
 from courierlake.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 def op6_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
@@ -49,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_counts": op4_token_counts,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_inverted_multi_index": op6_inverted_multi_index,
     "op7_secret_scan": op7_secret_scan,
     "op8_exact_dedup": op8_exact_dedup,
