@@ -14,7 +14,7 @@ from functools import lru_cache
 
 from courierlake.llm.metaspace import STRETCH, Cache
 
-CACHE_UNITS = 400_000
+CACHE_UNITS = 700_000
 
 # The characters of the Unicode property White_Space.
 _WHITE = r" \t-\r\x85\xa0  -     　"
@@ -31,6 +31,16 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _byte_names() -> dict[int, str]:
+    """Byte-level vocabularies name printable bytes by themselves, the others from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_NAMES = _byte_names()
+
+
 @lru_cache(maxsize=4)
 def _caches(path: str) -> tuple[Cache, Cache]:
     return Cache(CACHE_UNITS), Cache(CACHE_UNITS)
@@ -46,17 +56,31 @@ def _stretches(text: str) -> Iterator[str]:
 
 def id_bytes(path: str):
     """A function from text to its ids as little-endian unsigned 32-bit numbers."""
-    encode = tokenizer(path).encode_batch_fast
+    encode, model = tokenizer(path).encode_batch_fast, tokenizer(path).model
     spaced, exact = _caches(path)
-
-    def learn(cache: Cache, keys: list[str], units: list[str]) -> None:
-        for key, found in zip(keys, encode(units, add_special_tokens=False), strict=True):
-            cache[key] = array("I", found.ids).tobytes()
+    ends = {c: array("I", tokenizer(path).encode(c, add_special_tokens=False).ids) for c in ",."}
+
+    def word(key: str) -> bytes | None:
+        """Ids of a space and a word, with a comma or full stop, which pre-tokenising cuts off."""
+        end = ends.get(key[-1])
+        stem = key if end is None else key[:-1]
+        # Letters below U+0250 are letters in all versions of Unicode.
+        if not stem.isalpha() or max(stem) >= "\u0250":
+            return None
+        if not stem.isascii():
+            stem = stem.encode().decode("latin-1").translate(_NAMES)
+        ids = array("I", [t.id for t in model.tokenize(_NAMES[0x20] + stem)])
+        return (ids if end is None else ids + end).tobytes()
 
     def known(cache: Cache, keys: list[str], prefix: str) -> bytes:
         lost = cache.missing(keys)
+        if lost and prefix:
+            cache.update((k, found) for k in lost if (found := word(k)) is not None)
+            lost = [k for k in lost if k not in cache]
         if lost:
-            learn(cache, lost, [k if k[0] == "\n" else prefix + k for k in lost])
+            units = [k if k[0] == "\n" else prefix + k for k in lost]
+            for key, found in zip(lost, encode(units, add_special_tokens=False), strict=True):
+                cache[key] = array("I", found.ids).tobytes()
         found = b"".join(map(cache.__getitem__, keys))
         cache.trim()
         return found
