@@ -2,17 +2,18 @@
 
 Two documents link when 100 * |A & B| >= 75 * |A | B| for their sets of distinct five-word shingles.
 If they do, then under any total order of the shingles the first ``n - ceil(0.75 n) + 1`` of each
-share one. One filter of that kind is weak; a pair must pass it under several orders: all put rare
-shingles first (by document frequency, or its order of magnitude) and break ties by different hashes.
+share one; for a given pair, which must share ``o``, the first ``n - o + 1`` of each do. One filter of
+that kind is weak; a pair must pass it under several orders: all put rare shingles first (by document
+frequency, or its order of magnitude) and break ties by different hashes.
 
 1. *Classes.* Equal sets are one class, named by a 128-bit digest; copies never meet each other again.
 2. *Frequencies.* Tasks send their classes' shingles, packed, to buckets of the hash space, which
    count in how many classes each occurs. Only shingles of two or more classes go back. A class whose
    prefix holds nothing else has no partner and leaves; in ordinary text that is nearly all of them.
-3. *Leaders.* Within the classes that share a prefix shingle of the first order, one of another
-   component, chosen by a hash, is the leader, and the others are only held against it. What links
-   joins the leader's component. Rounds of this melt large groups of near copies without forming
-   their pairs.
+3. *Leaders.* Of the classes that share a prefix shingle of the first order one is the leader, and
+   those of other components are only held against it. What links joins the leader's component.
+   Rounds of this, the first led by the classes with the least text of their own and the others by
+   chance, melt large groups of near copies without forming their pairs.
 4. *Rest.* Pairs of different components that share a prefix shingle, and only those, are held against
    each other, all of them; pairs inside a component can't change it.
 
@@ -47,9 +48,9 @@ PACK = 1 << 21
 BUCKET = 1 << 22
 #: Bits of a shingle's hash that are sent besides its bucket's.
 WIDTH = 48
-#: Leader rounds go on while pairs between components outnumber the prefix entries by this factor.
-REST = 4
-LEADER_ROUNDS = 8
+#: Leader rounds go on while pairs between components outnumber the prefix entries by this factor
+#: and the last round took off this share of them.
+REST, GAIN = 4, 0.2
 #: Pairs that a leader is sent to at once.
 LEADER_ROWS = 512
 
@@ -187,9 +188,12 @@ def _regroup(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def partners(docs: DataFrame, total: int, text: str = "text") -> DataFrame:
-    """(cls, n, tokens, df) of the classes that share a prefix shingle with another class.
+    """(cls, n, packs, tokens, df) of the classes that share a prefix shingle with another class.
 
-    ``tokens`` are the class's shingles that occur in other classes, sorted; ``df`` in how many.
+    ``tokens`` are the class's shingles that were counted more than once, sorted, and ``df`` their
+    counts. A class that several packs hold is counted in each: where ``df`` equals ``packs`` the
+    shingle is the class's own. Counts order the shingles, so they are left as they are, alike in
+    all classes.
     """
     bits = min(24, max(4, int(np.ceil(np.log2(max(1, total / BUCKET))))))
     shared = (
@@ -207,66 +211,84 @@ def partners(docs: DataFrame, total: int, text: str = "text") -> DataFrame:
             F.first("tokens").alias("tokens"),
             F.first("df").alias("df"),
         )
+        .select("cls", "n", "packs", "tokens", "df")
     )
 
-    def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """A class that several packs hold was counted that often; mend that."""
+    def with_partner(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for cls, packs, n, tokens, df in batch.itertuples(index=False):
-                df = np.frombuffer(df, dtype="<u4") - np.uint32(packs - 1)
-                tokens = np.frombuffer(tokens, dtype="<u8")[df > 1]
-                if n - len(tokens) < prefix_size(np.int64(n)):
-                    out.append((cls, n, tokens.tobytes(), df[df > 1].tobytes()))
-            yield pd.DataFrame(out, columns=["cls", "n", "tokens", "df"])
-
-    return shared.select("cls", "packs", "n", "tokens", "df").mapInPandas(
-        own, "cls binary, n long, tokens binary, df binary"
-    )
+            keep = []
+            for n, packs, tokens, df in batch[["n", "packs", "tokens", "df"]].itertuples(index=False):
+                df = np.frombuffer(df, dtype="<u4")
+                order = _order(np.frombuffer(tokens, dtype="<u8"), df, 0)
+                room = int(prefix_size(np.int64(n))) - (n - len(df))
+                keep.append(bool((df[order[:room]] > packs).any()) if room > 0 else False)
+            yield batch[np.array(keep, dtype=bool)]
+
+    return shared.mapInPandas(with_partner, shared.schema)
 
 
-def prefix(n: int, tokens: np.ndarray, df: np.ndarray, order: int) -> np.ndarray:
-    """The shared shingles in the prefix under an order. Those of no other class come first."""
-    size = int(prefix_size(np.int64(n))) - (n - len(tokens))
+def _order(tokens: np.ndarray, df: np.ndarray, order: int) -> np.ndarray:
     rarity = df if order == 0 else np.log2(df).astype(np.int64)
-    return tokens[np.lexsort((mix(tokens, 20 + order), rarity))[:size]]
+    return np.lexsort((mix(tokens, 20 + order), rarity))
+
+
+def ordered(tokens: np.ndarray, df: np.ndarray, order: int) -> np.ndarray:
+    """The shingles by an order. Those that were counted once come before them all."""
+    return tokens[_order(tokens, df, order)]
 
 
 def _entries(classes: DataFrame) -> DataFrame:
-    """(token, cls, n) for the prefixes under the first order."""
+    """(token, cls, n, shared, place) for the prefixes under the first order.
+
+    ``shared`` is the number of the class's shingles that others have, ``place`` the token's place
+    among all its shingles. Shingles of the class alone take places but make no entry.
+    """
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            found = [
-                prefix(n, np.frombuffer(t, dtype="<u8"), np.frombuffer(d, dtype="<u4"), 0)
-                for n, t, d in zip(batch["n"], batch["tokens"], batch["df"], strict=True)
-            ]
-            sizes = [len(f) for f in found]
-            yield pd.DataFrame(
-                {
-                    "token": np.concatenate(found).view(np.int64),
-                    "cls": batch["cls"].repeat(sizes).to_numpy(),
-                    "n": batch["n"].repeat(sizes).to_numpy(),
-                }
-            )
-
-    return classes.mapInPandas(explode, "token long, cls binary, n long")
+            rows = []
+            for cls, n, packs, tokens, df in batch.itertuples(index=False):
+                tokens, df = np.frombuffer(tokens, dtype="<u8"), np.frombuffer(df, dtype="<u4")
+                first = n - len(df)
+                at = _order(tokens, df, 0)[: int(prefix_size(np.int64(n))) - first]
+                place = np.flatnonzero(df[at] > packs)
+                found = tokens[at[place]].view(np.int64)
+                shared = int((df > packs).sum())
+                rows += [(t, cls, n, shared, first + k + 1) for t, k in zip(found, place, strict=True)]
+            yield pd.DataFrame(rows, columns=["token", "cls", "n", "shared", "place"])
+
+    columns = ["cls", "n", "packs", "tokens", "df"]
+    schema = "token long, cls binary, n long, shared long, place long"
+    return classes.select(*columns).mapInPandas(explode, schema)
+
+
+def least_overlap(n_a: int, n_b: int) -> int:
+    """How many shingles two sets of these sizes must share to link."""
+    return -(-PERCENT * (n_a + n_b) // (100 + PERCENT))
+
+
+def _may_link(b: str) -> str:
+    """SQL: the size filter, and the prefix filter with the place of the token in both classes."""
+    least = f"ceil({PERCENT} * (n + {b}n) / {100 + PERCENT})"
+    return (
+        f"100 * least(n, {b}n) >= {PERCENT} * greatest(n, {b}n) and least(shared, {b}shared) >= {least}"
+        f" and place <= n - {least} + 1 and {b}place <= {b}n - {least} + 1"
+    )
 
 
-def linked(
-    n_a: int, tokens_a: bytes, df_a: bytes, n_b: int, tokens_b: bytes, df_b: bytes
-) -> bool:
+def linked(n_a: int, tokens_a: bytes, df_a: bytes, n_b: int, tokens_b: bytes, df_b: bytes) -> bool:
     """Whether two classes link: filters of all further orders first, then the overlap."""
     a, b = np.frombuffer(tokens_a, dtype="<u8"), np.frombuffer(tokens_b, dtype="<u8")
     rare_a, rare_b = np.frombuffer(df_a, dtype="<u4"), np.frombuffer(df_b, dtype="<u4")
+    least = least_overlap(n_a, n_b)
+    room_a, room_b = len(a) - least + 1, len(b) - least + 1
+    if room_a < 1 or room_b < 1:
+        return False
     for order in range(1, ORDERS):
-        first = np.concatenate([prefix(n_a, a, rare_a, order), prefix(n_b, b, rare_b, order)])
-        if len(np.unique(first)) == len(first):
+        first = (ordered(a, rare_a, order)[:room_a], ordered(b, rare_b, order)[:room_b])
+        if not len(np.intersect1d(*first, assume_unique=True)):
             return False
-    both = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
-    return 100 * both >= PERCENT * (n_a + n_b - both)
+    return len(np.intersect1d(a, b, assume_unique=True)) >= least
 
 
 def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -298,10 +320,6 @@ def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def _sizes_fit(a: str, b: str) -> str:
-    return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
-
-
 def _labelled(entries: DataFrame, links: DataFrame | None) -> DataFrame:
     """Prefix entries with the component of their class; tokens of one component are left out."""
     if links is None:
@@ -326,11 +344,14 @@ def _mixed(rows: DataFrame) -> DataFrame:
 
 def _led(rows: DataFrame, turn: int) -> DataFrame:
     """Pairs of a leader and the classes of other components that share its shingle."""
-    rank = F.struct(F.xxhash64("root", F.lit(turn)).alias("h"), "root", "cls", "n")
+    own = F.expr("(n - shared) / n") if turn == 0 else F.lit(0.0)
+    rank = F.struct(
+        own.alias("own"), F.xxhash64("root", F.lit(turn)).alias("h"), "root", "cls", "n", "shared", "place"
+    )
     leads = rows.groupBy("token").agg(F.count("*").alias("held"), F.min(rank).alias("lead"))
     found = lookup(rows, leads, ["token"], "held", rows.count())
     return (
-        found.where("root <> lead.root and " + _sizes_fit("n", "lead.n"))
+        found.where("root <> lead.root and " + _may_link("lead."))
         .select(F.col("lead.cls").alias("a"), F.col("cls").alias("b"))
         .distinct()
     )
@@ -346,15 +367,13 @@ def _across(rows: DataFrame) -> DataFrame:
     most = by_root.groupBy("token").agg(
         F.sum("m").alias("held"), F.max(F.struct("m", "root")).getField("root").alias("most")
     )
-    total = rows.count()
-    outside = lookup(rows, most, ["token"], "held", total).where("root <> most").select("token", "cls", "n", "root")
-    other = rows.select(
-        "token", F.col("cls").alias("cls_b"), F.col("n").alias("n_b"), F.col("root").alias("root_b")
-    )
+    outside = lookup(rows, most, ["token"], "held", rows.count()).where("root <> most")
+    names = {c: f"b_{c}" for c in rows.columns if c != "token"}
+    other = rows.withColumnsRenamed(names)
     return (
         outside.join(other, "token")
-        .where("root <> root_b and " + _sizes_fit("n", "n_b"))
-        .select(F.least("cls", "cls_b").alias("a"), F.greatest("cls", "cls_b").alias("b"))
+        .where("root <> b_root and " + _may_link("b_"))
+        .select(F.least("cls", "b_cls").alias("a"), F.greatest("cls", "b_cls").alias("b"))
         .distinct()
     )
 
@@ -372,13 +391,15 @@ def class_links(classes: DataFrame) -> DataFrame | None:
     entries = stored(_entries(classes), "entries")
     links: DataFrame | None = None
     rows = _mixed(entries.withColumn("root", F.col("cls")))
-    for turn in range(LEADER_ROUNDS):
+    before, turn = float("inf"), 0
+    while True:
         held, across = _pairs_across(rows)
-        if across <= REST * held:
+        if across <= REST * held or across > (1 - GAIN) * before:
             break
         found = stored(_verified(stored(_led(rows, turn), "led"), classes), "links")
         links = found if links is None else links.unionByName(found)
         rows = _labelled(entries, links)
+        before, turn = across, turn + 1
     if rows.limit(1).count():
         found = stored(_verified(stored(_across(rows), "across"), classes), "links")
         links = found if links is None else links.unionByName(found)
