@@ -11,10 +11,12 @@ from courierlake.llm import oracles
 from courierlake.llm.common import table
 from courierlake.llm.exact_dedup import exact_dedup
 from courierlake.llm.multi_index import nearest
+from courierlake.llm.ngram_join import ngram_components
 from courierlake.llm.packing import pack
 from courierlake.llm.quality import quality_scores
 from courierlake.llm.secret_scan import secret_digests
 from courierlake.llm.sentencepiece_codec import codec_digests
+from courierlake.llm.suffix_dedup import suffix_dedup
 from courierlake.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +54,14 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_best_fit_packing": op3_best_fit_packing,
@@ -60,6 +70,8 @@ QUERIES: dict[str, Query] = {
     "op6_inverted_multi_index": op6_inverted_multi_index,
     "op7_secret_scan": op7_secret_scan,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLES: dict[str, str] = {
