@@ -15,6 +15,7 @@ from courierlake.llm.ngram_join import ngram_components
 from courierlake.llm.packing import pack
 from courierlake.llm.quality import quality_scores
 from courierlake.llm.secret_scan import secret_digests
+from courierlake.llm.seed_chains import passages
 from courierlake.llm.sentencepiece_codec import codec_digests
 from courierlake.llm.suffix_dedup import suffix_dedup
 from courierlake.llm.token_counts import token_counts
@@ -22,6 +23,10 @@ from courierlake.llm.token_counts import token_counts
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -63,6 +68,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_chains": op1_substring_chains,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_token_counts": op4_token_counts,
