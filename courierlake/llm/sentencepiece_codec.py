@@ -38,7 +38,7 @@ from courierlake.llm.metaspace import (
     segments,
 )
 
-CACHE_ROWS = 300_000
+CACHE_ROWS = 700_000
 #: Threads of a worker's encoding batches.
 THREADS = 2
 
