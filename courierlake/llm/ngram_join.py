@@ -44,8 +44,8 @@ WORDS = 5
 PERCENT = 75
 ORDERS = 3
 #: Shingles that a task packs before it sends them, and that a bucket counts at once, about.
-PACK = 1 << 21
-BUCKET = 1 << 22
+PACK = 1 << 19
+BUCKET = 1 << 21
 #: Bits of a shingle's hash that are sent besides its bucket's.
 WIDTH = 48
 #: Leader rounds go on while pairs between components outnumber the prefix entries by this factor
