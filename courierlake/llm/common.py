@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from functools import cache
@@ -37,8 +36,12 @@ def _private_root(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"courierlake-{application}-")
 
 
+_made: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/courierlake-llm/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_root(spark)}/courierlake-llm/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -51,14 +54,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def drop_stored(*frames: DataFrame) -> None:
-    """Delete what ``stored`` wrote, once nothing reads it any more."""
-    for df in frames:
-        spark = df.sparkSession
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+def clear_stored(spark: SparkSession) -> None:
+    """Delete all that ``stored`` wrote in this process.
+
+    Call it when a run's results are written: frames that were built before read it.
+    """
+    conf, fs = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs
+    for made in _made:
+        path = fs.Path(made)
+        path.getFileSystem(conf).delete(path, True)
+    _made.clear()
 
 
 def whole_text(text: Column) -> Column:

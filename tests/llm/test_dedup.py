@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from courierlake.llm import components as graph
 from courierlake.llm import exact_dedup, ngram_join, seed_chains, suffix_dedup
-from courierlake.llm.common import stored
+from courierlake.llm.common import clear_stored, stored
 
 LONG = "word " * 60_000
 
@@ -348,10 +348,10 @@ def test_chain_edges(documents):
     assert seed_chains.passages(documents([])).count() == 0
 
 
-def test_stored_result_of_a_missing_folder_fails(spark):
+def test_cleared_results_are_gone(spark):
     df = stored(spark.range(3), "gone")
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0].rsplit("/", 1)[0])
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    assert df.count() == 3
+    folder = df.inputFiles()[0].rsplit("/", 1)[0]
+    clear_stored(spark)
     with pytest.raises(Exception, match=r"(?i)path|exist|file"):
-        stored(spark.read.parquet(path.toString()), "again").count()
+        spark.read.parquet(folder).count()
