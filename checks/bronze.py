@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.adapters import ADAPTERS
-from courierlake.operators.skew import planned_bytes
 from courierlake.plans.pipeline import Pipeline
 from courierlake.sources.schemas import bronze_schema
 
@@ -20,17 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a test file that is a single input split; larger tables stay as read."""
-    split = 128 << 20
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if planned_bytes(df) < split else df
-
-
 def bronze(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """Every source row once, and the re-extracted ones a second time, in a single scan."""
     adapter = ADAPTERS[topic]
-    rows = spread(table(spark, sf_dir, adapter.source), adapter.key).selectExpr(
+    rows = table(spark, sf_dir, adapter.source).selectExpr(
         "*",
         f"{adapter.key} AS k",
         f"explode(CASE WHEN {adapter.key} % 10 = 3 THEN array(0, 1) ELSE array(0) END) AS d",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks.adapters import bronze_cte
 from checks.bronze import AS_OF, bronze, pipeline, table
 from checks.oracle.gold import gold_ctes
-from checks.oracle.marts import STAR, SUBSCRIPTION, SUBSCRIPTION_COLUMNS
+from checks.oracle.marts import STAR, SUBSCRIPTION, SUBSCRIPTION_COLUMNS, mart_revenue
 from checks.oracle.silver import silver_ctes
 from checks.oracle.sql import AS_OF as AS_OF_SQL
 from checks.oracle.sql import boolean, dt, final, least, pct, r2, ratio, title, tm, with_
@@ -51,10 +51,10 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     with_(
         silver_ctes("orders")
         | {
-            "x": """SELECT oid AS order_id,
-                sub + tax + CASE WHEN kind = 'Pickup' THEN 0 ELSE fee0 END - disc AS total_usd,
-                CASE WHEN disc = 0 THEN NULL WHEN promo0 IS NULL AND disc > 0 THEN 'UNKNOWN'
-                     ELSE promo0 END AS promo_code, ts AS _extracted_at FROM o1"""
+            "x": """SELECT order_key AS order_id,
+                subtotal + tax + CASE WHEN type_text = 'Pickup' THEN 0 ELSE raw_delivery_fee END - discount AS total_usd,
+                CASE WHEN discount = 0 THEN NULL WHEN raw_promo_code IS NULL AND discount > 0 THEN 'UNKNOWN'
+                     ELSE raw_promo_code END AS promo_code, loaded_at AS _extracted_at FROM o1"""
         },
         final("order_id total_usd:f promo_code _extracted_at:s", "x"),
     ),
@@ -430,15 +430,12 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         count(driver_id) OVER (PARTITION BY vehicle_plate) > 1 AS dup_plate FROM {b('drivers')}""",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    # Size limit 0: takes the route for groups too large for one task.
     counted = attach_group_stats(
         bronze(spark, sf, "drivers").select("driver_id", "event_time", "license_number", "vehicle_plate"),
         {
             "same_license": ("license_number", F.count("driver_id")),
             "same_plate": ("vehicle_plate", F.count("driver_id")),
         },
-        min_heavy_rows=50,
-        small_bytes=0,
     )
     return counted.select(
         "driver_id",
@@ -597,14 +594,30 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         SUBSCRIPTION
         | {
             "x": "SELECT *, row_number() OVER (ORDER BY invoice_date DESC NULLS FIRST, "
-            "recognized_recurring_revenue_usd DESC NULLS FIRST) AS _ FROM subs"
+            "recognized_recurring_revenue_usd DESC NULLS FIRST, invoice_week NULLS LAST, "
+            "invoice_month NULLS LAST, restaurant_name NULLS LAST, cuisine_type NULLS LAST, "
+            "restaurant_city NULLS LAST, plan_tier NULLS LAST, billing_period NULLS LAST) AS _ FROM subs"
         },
         final(SUBSCRIPTION_COLUMNS, "x") + " ORDER BY _",
     ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return marts.sorted_mart(
-        pipeline(spark, sf).mart_subscription, "invoice_date", "recognized_recurring_revenue_usd"
+        pipeline(spark, sf).mart_subscription,
+        "invoice_date",
+        "recognized_recurring_revenue_usd",
+        marts.SUBSCRIPTION_GRAIN,
+    )
+
+
+@op(
+    "sort_mart_revenue",
+    f"SELECT * FROM ({mart_revenue}) ORDER BY order_date DESC NULLS FIRST, "
+    f"gross_revenue_usd DESC NULLS FIRST, {', '.join(f'{c} NULLS LAST' for c in marts.REVENUE_GRAIN[1:])}",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return marts.sorted_mart(
+        pipeline(spark, sf).mart_revenue, "order_date", "gross_revenue_usd", marts.REVENUE_GRAIN
     )
 
 
@@ -613,5 +626,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     f"SELECT DISTINCT churn_risk FROM {b('customers')} ORDER BY churn_risk NULLS FIRST LIMIT 10",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    bronze(spark, sf, "customers").createOrReplaceTempView("CUSTOMERS")
-    return spark.sql("SELECT DISTINCT churn_risk FROM CUSTOMERS ORDER BY churn_risk LIMIT 10")
+    return spark.sql(
+        "SELECT DISTINCT churn_risk FROM {customers} ORDER BY churn_risk LIMIT 10",
+        customers=bronze(spark, sf, "customers"),
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.adapters import bronze_cte
+from checks.adapters import ADAPTERS, bronze_cte
 from checks.bronze import bronze, pipeline, table
 from checks.oracle.silver import silver_ctes
 from checks.oracle.sql import with_
@@ -127,14 +127,29 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return ev.from_messages(messages, schema).withColumnRenamed(ev.CORRUPT, "corrupt")
 
 
-@op("src_route_by_path", per_topic("SELECT '{T}' AS \"table\", count(*) AS rows FROM {bronze}"))
+@op(
+    "src_route_by_path",
+    " UNION ALL ".join(
+        f"SELECT '{t.upper()}' AS \"table\", {PRIMARY_KEYS[t]} AS key, CAST(event_time AS VARCHAR) "
+        f"AS event_time, {len(ADAPTERS[t].columns | {'event_type': ''})} AS columns FROM ({bronze_cte(t)})"
+        for t in TOPICS
+    ),
+)
 def _(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "landed")
     for topic in TOPICS:
-        ev.bronze_messages(bronze(spark, sf, topic), topic).select("key", "value").write.parquet(
-            f"{root}/{topic}"
+        tables.land(bronze(spark, sf, topic), f"{root}/{topic}")
+    landed = {topic: tables.read_landed(spark, root, topic) for topic in TOPICS}
+    parts = [
+        rows.select(
+            "table",
+            F.col(PRIMARY_KEYS[topic]).alias("key"),
+            F.col("event_time").cast("string").alias("event_time"),
+            F.lit(len(rows.drop("table").columns)).cast("long").alias("columns"),
         )
-    return tables.read_landed(spark, root).groupBy("table").agg(F.count("*").alias("rows"))
+        for topic, rows in landed.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @op("src_registry", per_topic("SELECT '{T}' AS table_name, count(*) AS rows, count({key}) AS keyed FROM {bronze}"))
@@ -179,7 +194,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     root, schema = scratch_path(spark, "bronze"), f"bronze_{uuid.uuid4().hex[:12]}"
     orders = table(spark, sf, "orders")
     early = F.col("o_orderdate") < "1998-01-01"
-    for part in (orders.filter(early), orders.filter(~early)):
+    for part in (orders.filter(early), orders.filter(~early | early.isNull())):
         name = tables.append_table(part, schema, "orders", root)
     return spark.table(name)
 
@@ -234,14 +249,16 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(EVENT_SCHEMA).parquet(landed)
 
 
-def _in_two_loads(spark: SparkSession, sf: str) -> DataFrame:
+def _in_two_loads(spark: SparkSession, sf: str, clean_source: str = "off") -> DataFrame:
     """Events loaded to bronze by two runs of the loader, each after new files landed."""
     landed, bronze_path, ckpt = (scratch_path(spark, n) for n in ("landed", "bronze", "ckpt"))
     events = _events(spark, sf)
     early = F.col("ts") < "2024-01-16"
-    for part in (events.filter(early), events.filter(~early)):
+    for part in (events.filter(early), events.filter(~early | early.isNull())):
         tables.land(part, landed)
-        st.load_bronze(spark, landed, EVENT_SCHEMA, bronze_path, ckpt).awaitTermination()
+        st.load_bronze(
+            spark, landed, EVENT_SCHEMA, bronze_path, ckpt, clean_source, maxFilesPerTrigger="2"
+        ).awaitTermination()
     return spark.read.schema(EVENT_SCHEMA).parquet(bronze_path)
 
 
@@ -250,6 +267,11 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return _in_two_loads(spark, sf)
 
 
+@op("stream_load_and_delete", f"SELECT {EVENT_COLUMNS} FROM events")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return _in_two_loads(spark, sf, "delete")
+
+
 @op(
     "stream_dedup_upsert",
     f"SELECT {EVENT_COLUMNS} FROM events QUALIFY row_number() OVER "
@@ -279,10 +301,10 @@ NOT_NULL = {
 
 ACCEPTED = {
     "billing": ("status", ["Paid", "Pending", "Partial", "Paid - Date Unknown", "Overdue"]),
-    "customers": ("loyalty_tier", ["Bronze", "Silver", "Gold", "Platinum"]),
+    "customers": ("loyalty_tier", ["Bronze", "Silver", "Gold", "Platinum", "Diamond"]),
     "delivery": ("status", ["Delivered", "Failed", "In Transit", "Returned", "Partial"]),
     "drivers": ("vehicle_type", ["Car", "Van", "Motorcycle", "Scooter", "Bicycle"]),
-    "payments": ("status", ["Success", "Failed", "Refunded"]),
+    "payments": ("status", ["Success", "Failed", "Refunded", "Pending"]),
     "restaurants": ("plan_tier", ["Starter", "Growth", "Pro", "Enterprise"]),
 }
 
@@ -394,8 +416,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "landed")
     for topic in TOPICS:
-        keys = bronze(spark, sf, topic).select(PRIMARY_KEYS[topic], "event_time")
-        tables.land(keys, f"{root}/{topic}", tables.FLUSH_ROWS)
+        tables.land(bronze(spark, sf, topic), f"{root}/{topic}", tables.FLUSH_ROWS)
     counted = tables.rows_by_table(spark, root)
     return counted.select(
         "table", "rows", (F.col("largest_file") <= tables.FLUSH_ROWS).alias("within_limit")

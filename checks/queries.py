@@ -15,7 +15,7 @@ from checks.oracle.gold import COLUMNS as GOLD_COLUMNS
 from checks.oracle.gold import gold_oracle
 from checks.oracle.silver import COLUMNS, silver_ctes
 from checks.oracle.sql import final, with_
-from courierlake.plans import kpis, marts
+from courierlake.plans import gold, kpis, marts
 from courierlake.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,10 +64,7 @@ def _marts() -> None:
     )
     register(
         "window_lag_growth",
-        # Size limit 0: takes the route for sequences too long for one task.
-        lambda s, d: marts.mart_revenue(pipeline(s, d).star_orders, small_bytes=0).select(
-            *marts.REVENUE_GRAIN, *growth
-        ),
+        lambda s, d: pipeline(s, d).mart_revenue.select(*marts.REVENUE_GRAIN, *growth),
         mart_sql.window_lag_growth,
     )
     register(
@@ -100,12 +97,12 @@ def _kpis() -> None:
             pipeline(s, d).fct_orders
         ),
         "eda_payment_mix": lambda s, d: kpis.payment_mix(
-            (p := pipeline(s, d)).fct_orders, p.fct_payments
+            gold.fct_orders((p := pipeline(s, d)).silver("orders"), with_id=True),
+            gold.fct_payments(p.silver("payments"), with_id=True),
+            key="order_id",
         ),
-        # Size limit 0: takes the route for sequences too long for one task.
         "eda_pareto": lambda s, d: kpis.pareto(
-            kpis.customer_revenue((p := pipeline(s, d)).silver("orders"), p.stored_customers),
-            small_bytes=0,
+            kpis.customer_revenue((p := pipeline(s, d)).silver("orders"), p.stored_customers)
         ),
         "eda_segment_share": lambda s, d: kpis.segment_share(
             kpis.customer_revenue((p := pipeline(s, d)).silver("orders"), p.stored_customers)

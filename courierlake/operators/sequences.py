@@ -1,10 +1,9 @@
 """Windows over long sequences, without bringing a sequence into one task.
 
-The input is written out first, so that its true size is known. A small one takes a plain
-window. A large one is range-partitioned by the full order, which balances any
-distribution, and that layout is written with each row's partition number so that it can
-no longer change. Each slice is then numbered or summed on its own; what comes before it
-is a prefix sum over one row per slice and group.
+Rows are range-partitioned by their full order into slices of about ``SLICE_ROWS`` rows, which
+balances any distribution, and that layout is written with each row's slice so that it can no longer
+change. Each slice is then lagged or summed on its own. What a slice needs of the ones before it is
+bounded by the number of slices: sums, and the last rows of each for a lag.
 """
 
 from __future__ import annotations
@@ -13,58 +12,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from courierlake.operators.skew import SMALL_PLAN_BYTES, planned_bytes
 from courierlake.session import materialize
 
-BLOCK_ROWS = 100_000
+SLICE_ROWS = 1_000_000
 
 
-def _in_slices(stored: DataFrame, groups: list[str], order: list[Column]) -> DataFrame:
-    parts = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _in_slices(df: DataFrame, groups: list[str], order: list[Column], slice_rows: int) -> DataFrame:
+    """``df`` with ``_slice``. The input is stored first: ranges are sampled from it."""
+    stored = materialize(df, "sequence")
+    slices = max(1, -(-stored.count() // slice_rows))
     keys = [F.col(g).asc_nulls_first() for g in groups] + order
-    ranged = stored.repartitionByRange(parts, *keys).withColumn("_slice", F.spark_partition_id())
+    ranged = stored.repartitionByRange(slices, *keys).withColumn("_slice", F.spark_partition_id())
     return materialize(ranged, "slices")
 
 
-def _with_before(sliced: DataFrame, groups: list[str], value: Column) -> DataFrame:
-    """Add ``_before``: the total of ``value`` over all earlier slices of the row's group."""
-    per_slice = sliced.groupBy(*groups, "_slice").agg(value.alias("_total"))
-    earlier = (
-        Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = per_slice.select(
-        *[F.col(g).alias(f"_b_{g}") for g in groups],
-        F.col("_slice").alias("_b_slice"),
-        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"),
-    )
-    if not groups:
-        before = F.broadcast(before)  # one row per shuffle partition
-    same = F.col("_slice") == F.col("_b_slice")
-    for g in groups:
-        same = same & F.col(g).eqNullSafe(F.col(f"_b_{g}"))
-    return sliced.join(before, same, "left").drop("_b_slice", *[f"_b_{g}" for g in groups])
-
-
-def number_rows(stored: DataFrame, groups: list[str], order: list[Column], name: str) -> DataFrame:
-    """0-based position of each row in its group, sliced. ``order`` must be total."""
-    sliced = _with_before(_in_slices(stored, groups, order), groups, F.count("*"))
-    local = Window.partitionBy(*groups, "_slice").orderBy(*order)
-    position = F.col("_before") + F.row_number().over(local) - 1
-    return sliced.withColumn(name, position).drop("_before", "_slice")
-
-
 def running_sum(
-    df: DataFrame, value: str, order: list[Column], name: str, small_bytes: int = SMALL_PLAN_BYTES
+    df: DataFrame, value: str, order: list[Column], name: str, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Sum of ``value`` over all rows up to this one. ``order`` must be total."""
-    stored = materialize(df, "running_sum")
-    if planned_bytes(stored) <= small_bytes:
-        window = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return stored.withColumn(name, F.sum(value).over(window))
-    sliced = _with_before(_in_slices(stored, [], order), [], F.sum(value))
+    sliced = _in_slices(df, [], order, slice_rows)
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        sliced.groupBy("_slice")
+        .agg(F.sum(value).alias("_total"))
+        .select("_slice", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
+    )
     local = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     total = F.col("_before") + F.sum(value).over(local)
-    return sliced.withColumn(name, total).drop("_before", "_slice")
+    return (
+        sliced.join(F.broadcast(before), "_slice")  # a row for each slice
+        .withColumn(name, total)
+        .drop("_before", "_slice")
+    )
 
 
 def lag_rows(
@@ -72,34 +51,81 @@ def lag_rows(
     groups: list[str],
     order: list[Column],
     lags: dict[str, tuple[str, int]],
-    small_bytes: int = SMALL_PLAN_BYTES,
-    block_rows: int = BLOCK_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """``LAG(column, offset)`` per group for ``{name: (column, offset)}``.
+    """``LAG(column, offset)`` per group for ``{name: (column, offset)}``; ``order`` must be total.
 
-    In a large input the numbered rows of a group are cut into blocks, and the last rows of
-    a block are repeated at the head of the next one, so that no lag reaches out of its
-    block. ``order`` must be total.
+    Only the first group of a slice can have begun in an earlier one. A lag that reaches out of the
+    slice ends among the last rows of an earlier slice, since a lag is no longer than its reach;
+    these rows are numbered within the group and looked up by number.
     """
     reach = max(offset for _, offset in lags.values())
-    if reach > block_rows:
-        raise ValueError("block_rows must be at least the largest offset")
-
-    def lagged(rows: DataFrame, window) -> DataFrame:
-        columns = [F.lag(c, offset).over(window).alias(name) for name, (c, offset) in lags.items()]
-        return rows.select("*", *columns)
-
-    stored = materialize(df, "lag")
-    if planned_bytes(stored) <= small_bytes:
-        return lagged(stored, Window.partitionBy(*groups).orderBy(*order))
-
-    numbered = number_rows(stored, groups, order, "_pos")
-    block = F.floor(F.col("_pos") / F.lit(block_rows)).cast("long")
-    at_tail = F.col("_pos") % F.lit(block_rows) >= F.lit(block_rows - reach)
-    copies = F.when(at_tail, F.array(block, block + 1)).otherwise(F.array(block))
-    blocked = numbered.withColumn("_block", F.explode(copies))
-    result = lagged(blocked, Window.partitionBy(*groups, "_block").orderBy("_pos"))
-    return result.filter(F.col("_block") == block).drop("_pos", "_block")
+    columns = list(dict.fromkeys(c for c, _ in lags.values()))
+    names = [f"_g{k}" for k in range(len(groups))]
+    sliced = _in_slices(df, groups, order, slice_rows)
+    local = Window.partitionBy(*groups, "_slice").orderBy(*order)
+    rows = sliced.withColumn("_row", F.row_number().over(local)).withColumns(
+        {name: F.lag(c, offset).over(local) for name, (c, offset) in lags.items()}
+    )
+
+    parts = sliced.groupBy(*groups, "_slice").agg(F.count("*").alias("_n"))
+    parts = parts.select(*[F.col(g).alias(n) for g, n in zip(groups, names, strict=True)], "_slice", "_n")
+    by_slice = Window.partitionBy(*names).orderBy("_slice")
+    spans = materialize(
+        parts.withColumns(
+            {
+                "_before": F.coalesce(
+                    F.sum("_n").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+                ),
+                "_after": F.count("*").over(by_slice.rowsBetween(1, Window.unboundedFollowing)),
+            }
+        ).where("_before > 0 or _after > 0"),
+        "spans",
+    )  # groups of several slices: at most two rows for each slice
+
+    def spanning(which: str) -> DataFrame:
+        same = F.col("_slice") == F.col("_s")
+        for g, n in zip(groups, names, strict=True):
+            same = same & F.col(g).eqNullSafe(F.col(n))
+        own = spans.where(which).withColumnRenamed("_slice", "_s")
+        return rows.join(F.broadcast(own), same)
+
+    tails = spanning("_after > 0").where(F.col("_row") > F.col("_n") - reach).select(
+        *names, (F.col("_before") + F.col("_row")).alias("_at"), *[F.col(c).alias(f"_v_{c}") for c in columns]
+    )
+    heads = spanning("_before > 0").where(F.col("_row") <= reach)
+    wanted = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(name).alias("name"), F.lit(offset).alias("offset"))
+                for name, (_, offset) in lags.items()
+            ]
+        )
+    )
+    asked = (
+        heads.select(*names, "_s", "_row", (F.col("_before") + F.col("_row")).alias("_here"), wanted.alias("w"))
+        .where("_row <= w.offset")
+        .withColumn("_at", F.col("_here") - F.col("w.offset"))
+    )
+    same = F.col("a._at") == F.col("t._at")
+    for n in names:
+        same = same & F.col(f"a.{n}").eqNullSafe(F.col(f"t.{n}"))
+    found = asked.alias("a").join(tails.alias("t"), same).groupBy(
+        *[F.col(f"a.{n}").alias(n) for n in names], "_s", F.col("a._row").alias("_r")
+    )
+    patch = found.agg(
+        *[
+            F.max(F.when(F.col("w.name") == name, F.struct(F.col(f"_v_{c}").alias("v")))).alias(f"_p_{name}")
+            for name, (c, _) in lags.items()
+        ]
+    )
+    same = (F.col("_slice") == F.col("_s")) & (F.col("_row") == F.col("_r"))
+    for g, n in zip(groups, names, strict=True):
+        same = same & F.col(g).eqNullSafe(F.col(n))
+    # A patch has at most ``reach`` rows for each slice.
+    joined = rows.join(F.broadcast(patch), same, "left")
+    patched = {name: F.coalesce(F.col(f"_p_{name}.v"), F.col(name)) for name in lags}
+    return joined.withColumns(patched).select(*df.columns, *lags)
 
 
 def lag_days(

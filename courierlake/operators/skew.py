@@ -1,112 +1,32 @@
 """Joins and group statistics that hold up when one key owns a large share of the rows.
 
-Both split the keys in two. The heaviest keys, at most ``MAX_HEAVY_KEYS`` of them, are
-served by a broadcast whose size that number bounds, without any shuffle of their rows.
-A key outside that set holds less than 1/MAX_HEAVY_KEYS of the rows and takes an ordinary
-shuffle. The split decides the route only: every row gets its exact result on either one,
-and the two routes together hold every row once. Plans that Spark itself estimates as
-small skip the split.
+Both are plain equi-joins to a side with one row for each key, which Spark plans by itself: a small
+side is broadcast, and in a sort-merge join adaptive execution splits the partition of a heavy key
+over several tasks. Statistics reach the join through an aggregate, which combines a heavy key's
+rows inside each map task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from courierlake.session import materialize
 
-MAX_HEAVY_KEYS = 100_000
-MIN_HEAVY_ROWS = 100_000
-# A table of this size fits one task even if a single key owns all of it.
-SMALL_PLAN_BYTES = 256 << 20
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate for a plan, the one its broadcast decision uses."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    digits = conf.strip().lower().rstrip("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    if digits and digits[-1] in units:
-        return int(digits[:-1]) * units[digits[-1]]
-    return int(digits)
-
-
-def heavy_keys(
-    df: DataFrame, on: str, min_rows: int, stats: dict[str, Column] | None = None
-) -> DataFrame:
-    """The top keys by row count as ``__key``; counted with map-side pre-aggregation.
-
-    The order is total, so every use of this plan sees the same keys.
-    """
-    extra = [expr.alias(name) for name, expr in (stats or {}).items()]
-    return (
-        df.groupBy(F.col(on).alias("__key"))
-        .agg(F.count("*").alias("__rows"), *extra)
-        .filter(F.col("__rows") >= min_rows)
-        .orderBy(F.col("__rows").desc(), "__key")
-        .limit(MAX_HEAVY_KEYS)
-    )
-
-
-def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str,
-    min_heavy_rows: int = MIN_HEAVY_ROWS,
-    small_bytes: int = SMALL_PLAN_BYTES,
-) -> DataFrame:
-    """``fact LEFT JOIN dim USING (on)`` for a dim with unique keys and any skew in the fact.
-
-    Keeps the fact's columns first. NULL keys match nothing and are not shuffled. The split
-    reads the fact three times, so it is written out before.
-    """
-    if planned_bytes(dim) <= broadcast_limit(dim) or planned_bytes(fact) <= small_bytes:
-        return fact.join(dim, on, "left").select(*fact.columns, *[c for c in dim.columns if c != on])
-
-    fact = materialize(fact, "lookup")
-    heavy = F.broadcast(heavy_keys(fact.filter(F.col(on).isNotNull()), on, min_heavy_rows).select("__key"))
-    heavy_dim = dim.join(heavy, F.col(on) == F.col("__key"), "left_semi")
-    no_shuffle = (
-        fact.join(heavy, F.col(on) == F.col("__key"), "left")
-        .filter(F.col("__key").isNotNull() | F.col(on).isNull())
-        .drop("__key")
-        .join(F.broadcast(heavy_dim), on, "left")
-    )
-    shuffled = (
-        fact.filter(F.col(on).isNotNull())
-        .join(heavy, F.col(on) == F.col("__key"), "left_anti")
-        .join(dim, on, "left")
-    )
+def lookup_join(fact: DataFrame, dim: DataFrame, on: str) -> DataFrame:
+    """``fact LEFT JOIN dim USING (on)`` for a dim with unique keys. Keeps the fact's columns first."""
     columns = [*fact.columns, *[c for c in dim.columns if c != on]]
-    return no_shuffle.select(*columns).unionByName(shuffled.select(*columns))
+    return fact.join(dim, on, "left").select(*columns)
 
 
-def attach_group_stats(
-    df: DataFrame,
-    stats: dict[str, tuple[str, Column]],
-    min_heavy_rows: int = MIN_HEAVY_ROWS,
-    small_bytes: int = SMALL_PLAN_BYTES,
-) -> DataFrame:
+def attach_group_stats(df: DataFrame, stats: dict[str, tuple[str, Column]]) -> DataFrame:
     """Add ``{name: (key, aggregate)}`` computed over each row's own key group.
 
-    The result is that of an unordered window per key; NULL is a group of its own.
+    The result is that of an unordered window per key; NULL is a group of its own. The aggregate
+    reads only the columns it needs.
     """
-    for n, key in enumerate(dict.fromkeys(key for key, _ in stats.values())):
+    rows = df
+    for key in dict.fromkeys(key for key, _ in stats.values()):
         own = {name: agg for name, (k, agg) in stats.items() if k == key}
-        windowed = {name: agg.over(Window.partitionBy(key)) for name, agg in own.items()}
-        if planned_bytes(df) <= small_bytes:
-            df = df.withColumns(windowed)
-            continue
-        if n > 0:  # the split reads its input three times
-            df = materialize(df, "group_stats")
-        heavy = F.broadcast(heavy_keys(df, key, min_heavy_rows, own).drop("__rows"))
-        same = F.col(key).eqNullSafe(F.col("__key"))
-        light = df.join(heavy, same, "left_anti").withColumns(windowed)
-        hot = df.join(heavy, same, "inner").select(*df.columns, *own)
-        df = hot.unionByName(light)
+        groups = rows.groupBy(F.col(key).alias("__key")).agg(*[a.alias(n) for n, a in own.items()])
+        df = df.join(groups, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
     return df

@@ -25,8 +25,10 @@ def _renamed(**new_from_old: str) -> list[Column]:
     return [F.col(old).alias(new) for new, old in new_from_old.items()]
 
 
-def fct_orders(orders: DataFrame) -> DataFrame:
+def fct_orders(orders: DataFrame, with_id: bool = False) -> DataFrame:
+    """``with_id`` also keeps the natural order id, for joins that must not meet hash collisions."""
     return orders.select(
+        *["order_id"] * with_id,
         *_keys("order_id", "customer_id", "restaurant_id", "driver_id"),
         "order_at",
         "order_date",
@@ -51,9 +53,10 @@ def fct_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def fct_payments(payments: DataFrame) -> DataFrame:
+def fct_payments(payments: DataFrame, with_id: bool = False) -> DataFrame:
     status = F.col("status")
     return payments.select(
+        *["order_id"] * with_id,
         *_keys("payment_id", "order_id", "customer_id"),
         "transaction_id",
         "payment_date",

@@ -19,10 +19,11 @@ from courierlake.functions import (
     surrogate_key,
 )
 from courierlake.operators.sequences import running_sum
-from courierlake.operators.skew import SMALL_PLAN_BYTES, lookup_join
+from courierlake.operators.skew import lookup_join
 from courierlake.plans.marts import growth, payments_summary
+from courierlake.session import materialize
+from courierlake.plans.values import CANCELLED, COLLECTED
 
-COLLECTED = ("Paid", "Paid - Date Unknown")
 
 
 def _delivered() -> Column:
@@ -125,7 +126,7 @@ def _monthly(fct_orders: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("total_bookings_count"),
             sum_if(_delivered(), "total_paid_amount").alias("gross_revenue_usd"),
-            count_if_true(F.col("order_status").isin("Cancelled", "Rejected")).alias(
+            count_if_true(F.col("order_status").isin(*CANCELLED)).alias(
                 "cancelled_orders_count"
             ),
             sum_if(F.col("refund_amount") > 0, F.lit(1)).alias("refunded_orders_count"),
@@ -164,11 +165,11 @@ def cancel_refund_series(fct_orders: DataFrame) -> DataFrame:
     )
 
 
-def payment_mix(fct_orders: DataFrame, fct_payments: DataFrame) -> DataFrame:
-    """Revenue share and order value per payment method."""
-    methods = payments_summary(fct_payments).select("order_sk", "latest_payment_method")
+def payment_mix(fct_orders: DataFrame, fct_payments: DataFrame, key: str = "order_sk") -> DataFrame:
+    """Revenue share and order value per payment method. ``key`` joins payments to orders."""
+    methods = payments_summary(fct_payments, key).select(key, "latest_payment_method")
     by_method = (
-        fct_orders.join(methods, "order_sk", "left")
+        fct_orders.join(methods, key, "left")
         .groupBy("latest_payment_method")
         .agg(
             F.count("*").alias("orders"),
@@ -195,12 +196,12 @@ def customer_revenue(orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
     return lookup_join(per_customer, segments, "customer_sk").drop("customer_sk")
 
 
-def pareto(per_customer: DataFrame, small_bytes: int = SMALL_PLAN_BYTES) -> DataFrame:
+def pareto(per_customer: DataFrame) -> DataFrame:
     """Customers by falling revenue with their cumulative share of the total."""
-    known = per_customer.filter(F.col("revenue_usd").isNotNull())
+    known = materialize(per_customer, "per_customer").filter(F.col("revenue_usd").isNotNull())
     order = [F.col("revenue_usd").desc(), F.col("customer_id").asc()]
-    ranked = running_sum(known, "revenue_usd", order, "running_revenue_usd", small_bytes)
-    total = ranked.agg(F.sum("revenue_usd")).scalar()
+    ranked = running_sum(known, "revenue_usd", order, "running_revenue_usd")
+    total = known.agg(F.sum("revenue_usd")).scalar()
     return ranked.select(
         "*", percent(F.col("running_revenue_usd"), total).alias("cumulative_share_pct")
     )

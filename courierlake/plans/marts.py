@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from courierlake.functions import count_if_true, percent, safe_ratio, sum_if
 from courierlake.operators.sequences import lag_days, lag_rows
-from courierlake.operators.skew import SMALL_PLAN_BYTES, lookup_join
+from courierlake.operators.skew import lookup_join
+from courierlake.plans.values import CANCELLED, COLLECTED
 
 REVENUE_GRAIN = [
     "order_date",
@@ -37,14 +38,14 @@ SUBSCRIPTION_GRAIN = [
 ]
 
 
-def payments_summary(fct_payments: DataFrame) -> DataFrame:
-    """One row per order: did any payment succeed, and how was the latest one made.
+def payments_summary(fct_payments: DataFrame, key: str = "order_sk") -> DataFrame:
+    """One row per order ``key``: did any payment succeed, and how was the latest one made.
 
     The latest payment is an aggregate over (date, transaction) instead of a ranking, so
     the payments of an order are combined before the shuffle. A payment without a date
     comes last; equal dates go to the smallest transaction id, then to NULL.
     """
-    return fct_payments.groupBy("order_sk").agg(
+    return fct_payments.groupBy(key).agg(
         F.max(F.when(F.col("payment_status") == "Success", 1).otherwise(0)).alias(
             "has_success_payment"
         ),
@@ -59,7 +60,7 @@ def payments_summary(fct_payments: DataFrame) -> DataFrame:
         ).alias("latest"),
         F.sum("refund_amount").alias("total_gateway_refund_usd"),
     ).select(
-        "order_sk",
+        key,
         "has_success_payment",
         F.col("latest.payment_method").alias("latest_payment_method"),
         F.col("latest.payment_gateway").alias("latest_payment_gateway"),
@@ -68,9 +69,17 @@ def payments_summary(fct_payments: DataFrame) -> DataFrame:
 
 
 def star_orders(
-    fct_orders: DataFrame, fct_payments: DataFrame, dim_customers: DataFrame, dim_restaurants: DataFrame
+    fct_orders: DataFrame,
+    fct_payments: DataFrame,
+    dim_customers: DataFrame,
+    dim_restaurants: DataFrame,
+    key: str = "order_sk",
 ) -> DataFrame:
-    """Orders with the payment, customer and restaurant attributes the mart groups by."""
+    """Orders with the payment, customer and restaurant attributes the mart groups by.
+
+    ``key`` joins payments to orders. With facts that keep the natural id it should be "order_id":
+    two of very many orders may share a 63-bit hash, and orders are already dealt out by their id.
+    """
     customers = dim_customers.select(
         "customer_sk",
         F.col("value_segment").alias("customer_value_segment"),
@@ -87,7 +96,7 @@ def star_orders(
         "commission_pct",
     )
     orders = fct_orders.select(
-        "order_sk",
+        *dict.fromkeys([key, "order_sk"]),
         "customer_sk",
         "restaurant_sk",
         "order_date",
@@ -100,7 +109,7 @@ def star_orders(
         "refund_amount",
     )
     # Both sides of the payment join hold one row per order.
-    joined = orders.join(payments_summary(fct_payments), "order_sk", "left")
+    joined = orders.join(payments_summary(fct_payments, key), key, "left")
     joined = lookup_join(joined, customers, "customer_sk")
     joined = lookup_join(joined, restaurants, "restaurant_sk")
     status = F.col("order_status")
@@ -112,7 +121,7 @@ def star_orders(
             "commission"
         ),
         (status == "Delivered").alias("is_realized"),
-        status.isin("Cancelled", "Rejected").alias("is_cancelled"),
+        status.isin(*CANCELLED).alias("is_cancelled"),
         (status == "Failed").alias("is_failed"),
         (F.col("has_success_payment") == 1).alias("is_fully_paid"),
     )
@@ -180,7 +189,7 @@ GROWTH_LAGS = {
 }
 
 
-def mart_revenue(star: DataFrame, small_bytes: int = SMALL_PLAN_BYTES) -> DataFrame:
+def mart_revenue(star: DataFrame) -> DataFrame:
     """Daily revenue per customer group and restaurant, with growth over 7 and 30 rows back.
 
     "Back" counts rows of the (segment, cuisine, tier) group in date order; rows of one
@@ -189,7 +198,7 @@ def mart_revenue(star: DataFrame, small_bytes: int = SMALL_PLAN_BYTES) -> DataFr
     daily = daily_revenue(star)
     rest = [c for c in REVENUE_GRAIN if c not in (*GROWTH_GROUP, "order_date")]
     order = [F.col(c).asc_nulls_last() for c in ["order_date", *rest]]
-    return _with_growth(lag_rows(daily, GROWTH_GROUP, order, GROWTH_LAGS, small_bytes))
+    return _with_growth(lag_rows(daily, GROWTH_GROUP, order, GROWTH_LAGS))
 
 
 def revenue_growth_by_day(star: DataFrame) -> DataFrame:
@@ -207,7 +216,7 @@ def star_billing(fct_billing: DataFrame, dim_restaurants: DataFrame) -> DataFram
     """
     status = F.col("billing_status")
     revenue_status = (
-        F.when(status.isin("Paid", "Paid - Date Unknown"), "Collected")
+        F.when(status.isin(*COLLECTED), "Collected")
         .when(F.col("is_overdue"), "Overdue")
         .otherwise("Pending")
     )
@@ -251,6 +260,10 @@ def mart_subscription(fct_billing: DataFrame, dim_restaurants: DataFrame) -> Dat
     )
 
 
-def sorted_mart(mart: DataFrame, day: str, amount: str) -> DataFrame:
-    """Newest day first, then largest amount. For reading; tables are written unsorted."""
-    return mart.orderBy(F.col(day).desc_nulls_first(), F.col(amount).desc_nulls_first())
+def sorted_mart(mart: DataFrame, day: str, amount: str, grain: list[str]) -> DataFrame:
+    """Newest day first, then largest amount, then the grain, which makes the order total.
+
+    For reading; tables are written unsorted.
+    """
+    rest = [F.col(c).asc_nulls_last() for c in grain if c != day]
+    return mart.orderBy(F.col(day).desc_nulls_first(), F.col(amount).desc_nulls_first(), *rest)

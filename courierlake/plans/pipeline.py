@@ -91,7 +91,11 @@ class Pipeline:
     @cached_property
     def star_orders(self) -> DataFrame:
         return marts.star_orders(
-            self.fct_orders, self.fct_payments, self.stored_customers, self.stored_restaurants
+            gold.fct_orders(self.silver("orders"), with_id=True),
+            gold.fct_payments(self.silver("payments"), with_id=True),
+            self.stored_customers,
+            self.stored_restaurants,
+            key="order_id",
         )
 
     @cached_property

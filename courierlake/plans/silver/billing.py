@@ -17,8 +17,8 @@ from courierlake.functions import (
 )
 from courierlake.operators.dedup import ROW_HASH, keep_latest, with_row_hash
 from courierlake.plans.silver.common import day, loaded_at
+from courierlake.plans.values import OPEN_INVOICE, SETTLED, UNPAID_INVOICE
 
-SETTLED = ("Paid", "Paid - Date Unknown", "Waived", "Disputed")
 FEES = ("base_fee_usd", "overage_fee_usd", "addon_fee_usd", "discount_usd", "tax_usd")
 
 
@@ -71,10 +71,10 @@ def _repair(df: DataFrame, as_of: date) -> DataFrame:
             .otherwise(paid_on),
             # Waived and disputed invoices stay so even with a payment date.
             "status": F.when(
-                (paid_on >= issued) & status.isin("Pending", "Partial", "Overdue"), "Paid"
+                (paid_on >= issued) & status.isin(*UNPAID_INVOICE), "Paid"
             )
             .when((status == "Paid") & paid_on.isNull(), "Paid - Date Unknown")
-            .when(status.isin("Pending", "Partial") & past_due, "Overdue")
+            .when(status.isin(*OPEN_INVOICE) & past_due, "Overdue")
             .otherwise(status),
         }
     )

@@ -11,8 +11,8 @@ from courierlake.functions import clean_title, date_diff_boundary, money, to_int
 from courierlake.operators.dedup import ROW_HASH, keep_latest, with_row_hash
 from courierlake.operators.skew import attach_group_stats
 from courierlake.plans.silver.common import loaded_at
+from courierlake.plans.values import HIGH_WEATHER, IN_PROGRESS, NOT_COMPLETED, SEVERE_WEATHER
 
-NOT_COMPLETED = ("Failed", "Returned")
 MAX_SPEED_KMH = 120
 
 
@@ -86,9 +86,9 @@ def _repair(df: DataFrame) -> DataFrame:
             .when(status != "Delivered", F.lit(None))
             .otherwise(proof),
             "condition_severity": F.when(
-                weather.isin("Stormy", "Snowy") | (traffic == "Severe"), "Severe"
+                weather.isin(*SEVERE_WEATHER) | (traffic == "Severe"), "Severe"
             )
-            .when(weather.isin("Rainy", "Windy") | (traffic == "High"), "High")
+            .when(weather.isin(*HIGH_WEATHER) | (traffic == "High"), "High")
             .when((weather == "Cloudy") | (traffic == "Moderate"), "Moderate")
             .otherwise("Normal"),
         }
@@ -152,7 +152,7 @@ def clean_delivery(bronze: DataFrame, as_of: date) -> DataFrame:
         "status",
         (status == "Delivered").alias("is_delivered"),
         status.isin(*NOT_COMPLETED).alias("is_failed"),
-        status.isin("In Transit", "Partial").alias("is_in_progress"),
+        status.isin(*IN_PROGRESS).alias("is_in_progress"),
         "pickup_lat",
         "pickup_lng",
         "dropoff_lat",

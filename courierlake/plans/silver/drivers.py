@@ -19,8 +19,8 @@ from courierlake.functions import (
 from courierlake.operators.dedup import ROW_HASH, keep_latest, with_row_hash
 from courierlake.operators.skew import attach_group_stats
 from courierlake.plans.silver.common import day, loaded_at, rating_bucket
+from courierlake.plans.values import WORKING
 
-WORKING = ("Available", "On Delivery", "On Break")
 
 
 def _flag_duplicates(bronze: DataFrame) -> DataFrame:

@@ -18,9 +18,8 @@ from courierlake.functions import (
 )
 from courierlake.operators.dedup import ROW_HASH, keep_latest, with_row_hash
 from courierlake.plans.silver.common import loaded_at
+from courierlake.plans.values import RATEABLE, REFUNDABLE
 
-REFUNDABLE = ("Refunded", "Cancelled", "Failed")
-RATEABLE = ("Delivered", "Out For Delivery", "Refunded")
 
 
 def _typed(bronze: DataFrame) -> DataFrame:

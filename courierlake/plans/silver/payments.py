@@ -20,9 +20,8 @@ from courierlake.functions import (
 )
 from courierlake.operators.dedup import ROW_HASH, first_per_key, keep_latest, with_row_hash
 from courierlake.plans.silver.common import loaded_at
+from courierlake.plans.values import UNCOLLECTED, WALLETS
 
-UNCOLLECTED = ("Failed", "Pending")
-WALLETS = ("Paypal", "Apple Pay", "Google Pay", "Gift Card")
 
 
 def _typed(bronze: DataFrame) -> DataFrame:

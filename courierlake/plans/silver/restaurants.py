@@ -20,6 +20,7 @@ from courierlake.functions import (
 )
 from courierlake.operators.dedup import ROW_HASH, keep_latest, with_row_hash
 from courierlake.plans.silver.common import day, loaded_at, rating_bucket
+from courierlake.plans.values import PAST_MIDNIGHT
 
 
 def clean_restaurants(bronze: DataFrame, as_of: date) -> DataFrame:
@@ -28,7 +29,7 @@ def clean_restaurants(bronze: DataFrame, as_of: date) -> DataFrame:
     inactive, featured = ~F.col("is_active"), F.col("is_featured")
     opens, closes = try_hour("open_time"), try_hour("close_time")
     # Only these two spellings count as closing after midnight; 02:00 gives negative hours.
-    past_midnight = F.col("close_time").isin("00:00", "01:00")
+    past_midnight = F.col("close_time").isin(*PAST_MIDNIGHT)
 
     typed = with_row_hash(bronze).filter(F.col("restaurant_id").isNotNull()).select(
         F.trim("restaurant_id").alias("restaurant_id"),

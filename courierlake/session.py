@@ -48,9 +48,17 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set."""
+    """The shared folder the cluster names.
+
+    A temporary one stands in only where none is set and all tasks run in this process; executors
+    of a cluster would each write to a disk of their own, so there a missing setting is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return root.rstrip("/") if root else _private_root(spark.sparkContext.applicationId)
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return _private_root(spark.sparkContext.applicationId)
 
 
 @cache
@@ -58,17 +66,36 @@ def _private_root(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"courierlake-{application}-")
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder, used by nobody else."""
-    return f"{scratch_root(spark)}/courierlake/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{scratch_root(spark)}/courierlake/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete all scratch data of this process; returns the number of paths.
+
+    Call it when a run's results are written: frames that were built before may read scratch data.
+    """
+    conf, fs = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs
+    for made in _made:
+        path = fs.Path(made)
+        path.getFileSystem(conf).delete(path, True)
+    cleared = len(_made)
+    _made.clear()
+    return cleared
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a result to the shared folder and read it back.
 
     Cuts lineage in a way that survives lost executors, and gives later stages true file
-    sizes, so that Spark itself decides which join sides are small enough to broadcast.
+    sizes, so that Spark itself decides which join sides are small enough to broadcast. The
+    schema comes from the files: a folder without them raises instead of giving no rows.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.parquet(path)

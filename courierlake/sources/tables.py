@@ -32,10 +32,22 @@ def table_of_path(root: str, path: Column) -> Column:
     return F.upper(F.substring_index(below, "/", 1))
 
 
-def read_landed(spark: SparkSession, root: str) -> DataFrame:
-    """All landed Parquet files below a root, each row with the table it belongs to."""
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    return files.parquet(root).withColumn("table", table_of_path(root, F.col("_metadata.file_path")))
+def read_landed(spark: SparkSession, root: str, topic: str) -> DataFrame:
+    """The landed Parquet files of a topic, with its columns and the table that their path names."""
+    files = spark.read.schema(bronze_schema(topic)).option("recursiveFileLookup", True)
+    rows = files.option("pathGlobFilter", "*.parquet").parquet(f"{root}/{topic}")
+    return rows.withColumn("table", table_of_path(root, F.col("_metadata.file_path")))
+
+
+def route_landed(spark: SparkSession, root: str) -> DataFrame:
+    """A row for each landed row below a root: its file and the table it belongs to.
+
+    Tables differ in their columns, so none is read here; see ``read_landed``.
+    """
+    files = spark.read.schema("_none string").option("recursiveFileLookup", True)
+    path = F.col("_metadata.file_path")
+    rows = files.option("pathGlobFilter", "*.parquet").parquet(root)
+    return rows.select(table_of_path(root, path).alias("table"), path.alias("file"))
 
 
 def land(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
@@ -83,8 +95,7 @@ def overwrite_table(
 
 def rows_by_table(spark: SparkSession, root: str) -> DataFrame:
     """Audit: how many rows, in how many files, each table has below a root."""
-    landed = read_landed(spark, root).select("table", F.col("_metadata.file_path").alias("file"))
-    per_file = landed.groupBy("table", "file").agg(F.count("*").alias("rows"))
+    per_file = route_landed(spark, root).groupBy("table", "file").agg(F.count("*").alias("rows"))
     return per_file.groupBy("table").agg(
         F.sum("rows").alias("rows"), F.count("*").alias("files"), F.max("rows").alias("largest_file")
     )

@@ -16,6 +16,11 @@ from courierlake.sources.schemas import TOPICS, bronze_schema
 
 MESSAGE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("topic", "key", "value")])
 FLUSH_EVERY = "15 seconds"
+# What one micro-batch takes of a backlog, so that a failure repeats no more than that.
+MESSAGES_PER_TRIGGER = "1000000"
+FILES_PER_TRIGGER = "1000"
+# Files older than the newest one by more than this are still picked up: backfills keep old times.
+MAX_FILE_AGE = "3650d"
 LOAD_EVERY = "10 minutes"
 
 
@@ -33,11 +38,13 @@ def read_topics(
     if fmt == "kafka":
         reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", source)
         reader = reader.option("subscribe", ",".join(topics))
-        reader = reader.option("startingOffsets", "earliest").options(**options)
+        reader = reader.option("startingOffsets", "earliest")
+        reader = reader.options(**{"maxOffsetsPerTrigger": MESSAGES_PER_TRIGGER} | options)
         return reader.load().selectExpr(
             "topic", "CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value"
         )
-    reader = spark.readStream.format(fmt).options(**options)
+    bounds = {"maxFilesPerTrigger": FILES_PER_TRIGGER, "maxFileAge": MAX_FILE_AGE}
+    reader = spark.readStream.format(fmt).options(**bounds | options)
     if len(topics) == 1:  # list that topic's folder only
         messages = reader.schema("key string, value string").load(f"{source}/topic={topics[0]}")
         return messages.select(F.lit(topics[0]).alias("topic"), "key", "value")
@@ -78,14 +85,20 @@ def land_topics(
     topics: tuple[str, ...] = TOPICS,
     fmt: str = "kafka",
     drain: bool = True,
+    rows_per_file: int | None = None,
     **options: str,
 ) -> dict[str, StreamingQuery]:
-    """One query per topic, each reading its own topic only."""
+    """One query per topic, each reading its own topic only. ``options`` go to the reader."""
     queries = {}
     for topic in topics:
         messages = read_topics(spark, source, (topic,), fmt, **options)
         queries[topic] = land_events(
-            messages, bronze_schema(topic), f"{root}/{topic}", f"{checkpoints}/{topic}", drain
+            messages,
+            bronze_schema(topic),
+            f"{root}/{topic}",
+            f"{checkpoints}/{topic}",
+            drain,
+            rows_per_file,
         )
     return queries
 
@@ -99,12 +112,16 @@ def load_bronze(
     clean_source: str = "off",
     archive: str | None = None,
     drain: bool = True,
+    **options: str,
 ) -> StreamingQuery:
     """Append files that have not been loaded yet to a bronze table.
 
     ``clean_source`` may be "delete", or "archive" with a folder, to take loaded files away.
+    ``options`` go to the reader and may change the bounds of a micro-batch.
     """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
+    bounds = {"maxFilesPerTrigger": FILES_PER_TRIGGER, "maxFileAge": MAX_FILE_AGE}
+    reader = reader.options(**bounds | options)
     reader = reader.option("cleanSource", clean_source)
     if archive:
         reader = reader.option("sourceArchiveDir", archive)

@@ -31,46 +31,43 @@ def same(a, b):
     assert sorted(map(key, a.select(columns).collect())) == sorted(map(key, b.select(columns).collect()))
 
 
-@pytest.mark.parametrize("min_rows", [1, 20, 500, 10_000])
-def test_group_stats_equal_windows(skewed, min_rows):
+def test_group_stats_equal_windows(skewed):
     stats = {"n": ("key", F.count("id")), "most": ("key", F.max("attempt")), "per_v": ("v", F.count("id"))}
-    split = skew.attach_group_stats(skewed, stats, min_heavy_rows=min_rows, small_bytes=0)
     plain = skewed.withColumns({name: agg.over(Window.partitionBy(k)) for name, (k, agg) in stats.items()})
-    same(split, plain)
-
-
-@pytest.mark.parametrize("min_rows", [1, 20, 500, 10_000])
-def test_lookup_join_equals_left_join(spark, skewed, min_rows):
-    dim = spark.createDataFrame(
-        [("hot", 1, "x"), *[(f"k{i}", i, None if i % 7 == 0 else "y") for i in range(300)]],
-        "key string, a int, b string",
-    )
-    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        split = skew.lookup_join(skewed, dim, "key", min_heavy_rows=min_rows, small_bytes=0)
-        same(split, skewed.join(dim, "key", "left"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
-
-
-def test_heavy_keys_are_bounded(skewed, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HEAVY_KEYS", 3)
-    heavy = skew.heavy_keys(skewed, "key", 1).collect()
-    assert len(heavy) == 3 and heavy[0]["__key"] == "hot"
-    stats = {"n": ("key", F.count("id"))}
-    split = skew.attach_group_stats(skewed, stats, min_heavy_rows=1, small_bytes=0)
-    same(split, skewed.withColumn("n", F.count("id").over(Window.partitionBy("key"))))
-
-
-@pytest.mark.parametrize("limit,want", [("10MB", 10 << 20), ("-1", -1), ("1024", 1024), ("2g", 2 << 30), ("10485760b", 10485760)])
-def test_broadcast_limit_reads_sizes(spark, limit, want):
-    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    same(skew.attach_group_stats(skewed, stats), plain)
+
+
+def test_group_stats_meet_no_group_in_one_task(skewed):
+    """Only sums per key and task are shuffled to form the statistics; no window is left."""
+    stats = {"n": ("key", F.count("id")), "most": ("key", F.max("attempt"))}
+    text = skew.attach_group_stats(skewed, stats)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "partial_count" in text
+
+
+def test_lookup_join_splits_a_hot_key(spark):
+    """A key with a third of the rows: adaptive execution splits its partition."""
+    dim = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(300)]], "key string, a int")
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 400))
+    fact = spark.range(60_000).select("id", key.alias("key"), F.repeat(F.lit("x"), 40).alias("pad"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
-        assert skew.broadcast_limit(spark.range(1)) == want
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = skew.lookup_join(fact, dim, "key")
+        rows = joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == 60_000
+    assert all(r.a == (1 if r.key == "hot" else int(r.key[1:]) if int(r.key[1:]) < 300 else None) for r in rows)
 
 
 @pytest.fixture
@@ -92,28 +89,31 @@ def total_order():
     return [F.col("d").asc_nulls_last(), F.col("tie").asc()]
 
 
-@pytest.mark.parametrize("block", [30, 31, 64, 100_000])
-def test_lag_rows_equals_plain_lag(series, block):
+@pytest.mark.parametrize("slice_rows", [5, 40, 300, 1_000_000])
+def test_lag_rows_equals_plain_lag(series, slice_rows):
+    """Slices shorter than the reach, groups over many slices, many groups in a slice."""
     lags = {"v7": ("v", 7), "v30": ("v", 30), "t1": ("tie", 1)}
-    got = sequences.lag_rows(series, ["g"], total_order(), lags, small_bytes=0, block_rows=block)
+    got = sequences.lag_rows(series, ["g"], total_order(), lags, slice_rows=slice_rows)
     window = Window.partitionBy("g").orderBy(*total_order())
     want = series.select("*", *[F.lag(c, n).over(window).alias(k) for k, (c, n) in lags.items()])
     same(got, want)
-    same(sequences.lag_rows(series, ["g"], total_order(), lags), want)
 
 
-def test_lag_rows_refuses_blocks_below_its_reach(series):
-    with pytest.raises(ValueError):
-        sequences.lag_rows(series, ["g"], total_order(), {"x": ("v", 7)}, block_rows=6)
+def test_lag_rows_of_null_values(spark):
+    df = spark.createDataFrame([("a", k, None if k % 3 else k) for k in range(60)], "g string, k int, v int")
+    got = sequences.lag_rows(df, ["g"], [F.col("k").asc()], {"p": ("v", 4)}, slice_rows=7)
+    assert {r.k: r.p for r in got.collect()} == {
+        k: None if k < 4 or (k - 4) % 3 else k - 4 for k in range(60)
+    }
 
 
-def test_running_sum_equals_plain_window(series):
+@pytest.mark.parametrize("slice_rows", [100, 1_000_000])
+def test_running_sum_equals_plain_window(series, slice_rows):
     order = [F.col("v").desc(), F.col("tie").asc()]
     want = series.withColumn(
         "run", F.sum("v").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     )
-    same(sequences.running_sum(series, "v", order, "run", small_bytes=0), want)
-    same(sequences.running_sum(series, "v", order, "run"), want)
+    same(sequences.running_sum(series, "v", order, "run", slice_rows=slice_rows), want)
 
 
 def test_lag_days_looks_at_the_calendar(spark):

@@ -123,3 +123,63 @@ def test_envelope_time_is_iso(spark):
     fixed = ev.with_envelope(df, "orders", F.lit("2001-02-03 04:05:06").cast("timestamp")).first()
     assert (fixed.event_type, fixed.event_time) == ("orders_loaded", "2001-02-03T04:05:06.000000")
     assert ev.with_envelope(df, "orders").select(F.col("event_time").cast("timestamp")).first()[0]
+
+
+def test_loader_deletes_what_it_has_loaded(spark, sf):
+    """Files of an earlier batch are gone after a later one, and every row is in the table."""
+    landed, table, ckpt = (scratch_path(spark, n) for n in ("landed", "bronze", "ckpt"))
+    reviews = bronze(spark, sf, "reviews")
+    first, second = F.col("platform") == "ios", F.col("platform") != "ios"
+    left = []
+    for part in (first, second, F.lit(False)):
+        tables.land(reviews.filter(part), landed)
+        st.load_bronze(spark, landed, reviews.schema, table, ckpt, "delete").awaitTermination()
+        left.append(spark.read.schema(reviews.schema).parquet(landed).filter(first).count())
+    assert equal(spark.read.schema(reviews.schema).parquet(table), reviews)
+    assert left[0] > left[-1]
+
+
+def test_a_backlog_is_loaded_in_bounded_batches(spark, sf):
+    landed, table, ckpt = (scratch_path(spark, n) for n in ("landed", "bronze", "ckpt"))
+    users = bronze(spark, sf, "users").repartition(6)
+    tables.land(users, landed)
+    query = st.load_bronze(spark, landed, users.schema, table, ckpt, maxFilesPerTrigger="2")
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p.numInputRows]) >= 3
+    assert equal(spark.read.schema(users.schema).parquet(table), users)
+
+
+def test_landed_folders_keep_their_own_columns(spark, sf):
+    root = scratch_path(spark, "mixed")
+    for topic in ("orders", "users", "drivers"):
+        tables.land(bronze(spark, sf, topic), f"{root}/{topic}")
+    for topic in ("orders", "users", "drivers"):
+        rows = tables.read_landed(spark, root, topic)
+        assert {r["table"] for r in rows.select("table").distinct().collect()} == {topic.upper()}
+        assert equal(rows.drop("table"), bronze(spark, sf, topic))
+    counts = {r["table"]: r["count"] for r in tables.route_landed(spark, root).groupBy("table").count().collect()}
+    assert counts == {t.upper(): bronze(spark, sf, t).count() for t in ("orders", "users", "drivers")}
+
+
+def test_scratch_data_is_cleared(spark):
+    from courierlake.session import clear_scratch, materialize
+
+    df = materialize(spark.range(3).toDF("id"), "cleared")
+    assert df.count() == 3
+    folder = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert clear_scratch(spark) >= 1
+    with pytest.raises(Exception, match=r"(?i)path|exist|file"):
+        spark.read.parquet(folder).count()
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error(spark):
+    from types import SimpleNamespace
+
+    from courierlake.session import scratch_root
+
+    bare = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: None),
+        sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="x"),
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(bare)
