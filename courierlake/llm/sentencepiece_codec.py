@@ -164,31 +164,45 @@ def backend(path: str):
 
 
 class Codec:
-    """Encodes and decodes in a worker. ``differing`` holds the segments without parity."""
+    """Encodes and decodes in a worker.
+
+    ``differing`` holds the segments without parity, ``changed`` what those segments decode to that
+    do not decode to themselves. Byte fallback never runs across a segment's first marker, so a
+    text decodes to its segments' texts, with a space for each marker between them.
+    """
 
     def __init__(self, path: str):
         self.path, self.backend = path, backend(path)
         self.cut = cuttable(path)
         self.lone = array("I", [processor(path).piece_to_id(MARK)]).tobytes()
-        self.cache, self.differing = Cache(CACHE_ROWS), set()
+        self.cache, self.differing, self.changed = Cache(CACHE_ROWS), set(), {}
 
     def _learn(self, keys: list[str]) -> None:
         mine = self.backend.encode_batch_fast(keys, add_special_tokens=False)
-        for key, own, theirs in zip(keys, mine, encode_segments(self.path, keys), strict=True):
+        ids = encode_segments(self.path, keys)
+        back = self.decode(ids)
+        for key, own, theirs, text in zip(keys, mine, ids, back, strict=True):
             if own.ids != theirs and key:
                 self.differing.add(key)
+            if text != key:
+                self.changed[key] = text
             self.cache[key] = array("I", theirs).tobytes()
 
     def encode(self, text: str) -> tuple[bytes, bool]:
         """Ids as little-endian unsigned 32-bit numbers, and whether there was parity."""
-        out, parity = [], True
+        return self.encode_and_back(text)[:2]
+
+    def encode_and_back(self, text: str) -> tuple[bytes, bool, str]:
+        """What ``encode`` gives, and the text that the ids decode to."""
+        out, back, parity = [], [], True
         for found in segments(text) if self.cut else ([text] if text else [],):
             if lost := self.cache.missing(found):
                 self._learn(lost)
             out += map(self.cache.__getitem__, found)
             parity = parity and (not self.differing or self.differing.isdisjoint(found))
+            back += [self.changed.get(s, s) for s in found] if self.changed else found
             self.cache.trim()
-        return b"".join(out), parity
+        return b"".join(out), parity, " ".join(back)
 
     def decode(self, batch: list[list[int]]) -> list[str]:
         return self.backend.decode_batch(batch, skip_special_tokens=False)
@@ -242,8 +256,7 @@ def codec_digests(docs: DataFrame, model: str) -> DataFrame:
         for batch in batches:
             rows = []
             for text in batch:
-                data, parity = use.encode(text)
-                back = use.decode([_ids(data)])[0]
+                data, parity, back = use.encode_and_back(text)
                 sha = hashlib.sha256(back.encode()).hexdigest()
                 same = back == text.replace(MARK, " ")
                 rows.append((len(data) // 4, zlib.crc32(data), sha, same, parity))

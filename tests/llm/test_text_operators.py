@@ -202,7 +202,7 @@ def test_codec_is_the_librarys(sp):
         data, parity = use.encode(text)
         ids = array("I", data).tolist()
         assert ids == sp.encode(text) and parity
-        assert use.decode([ids]) == [text.replace("▁", " ")]
+        assert use.decode([ids]) == [text.replace("▁", " ")] == [use.encode_and_back(text)[2]]
 
 
 def piece(text, score, kind=1):
