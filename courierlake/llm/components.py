@@ -1,19 +1,20 @@
-"""Connected components of a graph held in DataFrames, without hot keys."""
+"""Connected components of a graph held in DataFrames."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courierlake.llm.common import lookup, stored
+from courierlake.llm.common import stored
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); the root is the component's smallest node.
 
     Labels start as the smallest neighbour. Every round takes the smallest label among neighbours and
-    then the label's own label, which halves the way to the root, until nothing changes. A centre
-    with a third of all edges is looked up as a hot key; only minima per node are shuffled.
+    then the label's own label, which halves the way to the root, until nothing changes. Joins are
+    plain, so adaptive execution splits a centre with a third of all edges over several tasks, and
+    minima are formed in each map task before rows of a node meet.
     """
     both = stored(
         edges.select(F.col("a").alias("node"), F.col("b").alias("other"))
@@ -21,35 +22,22 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    total = both.count()
-    degrees = stored(
-        both.groupBy("node").agg(F.count("*").alias("n"), F.min("other").alias("least")), "degrees"
-    )
     labels = stored(
-        degrees.select("node", "n", F.least("node", "least").alias("root")), "labels"
+        both.groupBy("node")
+        .agg(F.min("other").alias("least"))
+        .select("node", F.least("node", "least").alias("root")),
+        "labels",
     )
-    while total:
-        # The label of a node reaches its neighbours: edges are looked up by the node they leave.
-        near = (
-            lookup(both, labels, ["node"], "n", total)
-            .groupBy(F.col("other").alias("node"))
-            .agg(F.min("root").alias("near"))
-        )
+    while True:
+        near = both.join(labels, "node").groupBy(F.col("other").alias("node")).agg(F.min("root").alias("near"))
         better = stored(
-            labels.join(near, "node").select("node", "n", "root", F.least("root", "near").alias("near")),
-            "near",
+            labels.join(near, "node").select("node", F.least("root", "near").alias("near"), "root"), "near"
         )
-        # A root's followers may be a third of all nodes; their number is the size of its key.
-        held = better.groupBy("near").agg(F.count("*").alias("held"))
-        own = better.select(F.col("node").alias("near"), F.col("near").alias("jump")).join(held, "near")
+        own = better.select(F.col("node").alias("near"), F.col("near").alias("jump"))
         jumped = stored(
-            lookup(better, own, ["near"], "held", total).select(
-                "node", "n", F.least("near", "jump").alias("root"), F.col("root").alias("was")
-            ),
+            better.join(own, "near").select("node", F.least("near", "jump").alias("root"), F.col("root").alias("was")),
             "labels",
         )
-        changed = jumped.where("root <> was").limit(1).count()
         labels = jumped.drop("was")
-        if not changed:
-            break
-    return labels.select("node", "root")
+        if not jumped.where("root <> was").limit(1).count():
+            return labels

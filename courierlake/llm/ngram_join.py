@@ -50,7 +50,9 @@ BUCKET = 1 << 21
 WIDTH = 48
 #: Leader rounds go on while pairs between components outnumber the prefix entries by this factor
 #: and the last round took off this share of them.
-REST, GAIN = 4, 0.2
+REST, GAIN = 4, 0.9
+#: Buckets of the hash space are at least two to this power.
+LEAST_BITS = 7
 #: Pairs that a leader is sent to at once.
 LEADER_ROWS = 512
 
@@ -195,7 +197,7 @@ def partners(docs: DataFrame, total: int, text: str = "text") -> DataFrame:
     shingle is the class's own. Counts order the shingles, so they are left as they are, alike in
     all classes.
     """
-    bits = min(24, max(4, int(np.ceil(np.log2(max(1, total / BUCKET))))))
+    bits = min(24, max(LEAST_BITS, int(np.ceil(np.log2(max(1, total / BUCKET))))))
     shared = (
         _postings(docs, bits, text)
         .groupBy("bucket")
