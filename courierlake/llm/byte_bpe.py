@@ -14,7 +14,7 @@ from functools import lru_cache
 
 from courierlake.llm.metaspace import STRETCH, Cache
 
-CACHE_UNITS = 700_000
+CACHE_UNITS = 300_000
 
 # The characters of the Unicode property White_Space.
 _WHITE = r" \t-\r\x85\xa0  -     　"

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from courierlake.llm.common import whole_text
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Longer lists of possible strings are not followed; the query only gets weaker by that.
 MAX_STRINGS = 64
 MASK = "[SECRET]"
