@@ -323,6 +323,31 @@ def test_chains_find_fuzzy_passages(documents):
         assert len(set(mine) & set(theirs)) >= 80
 
 
+def test_chains_keep_both_passages_around_a_gap(documents):
+    """Header and footer word for word, 20 to 300 other words between, on one side or on both."""
+    rnd = random.Random(8)
+    words = [f"w{k}" for k in range(50_000)]
+    rows, shared = [], {}
+    for n in (20, 60, 64, 65, 80, 100, 200, 300):
+        for mine, theirs in ((n, n), (0, n), (n, 10)):
+            head, foot = ([rnd.choice(words) for _ in range(80)] for _ in range(2))
+            for m in (mine, theirs):
+                text = head + [rnd.choice(words) for _ in range(m)] + foot
+                shared[len(rows)] = set(range(80)) | set(range(80 + m, 160 + m))
+                rows.append((len(rows), " ".join(text)))
+    texts = {i: t.split() for i, t in rows}
+    covered = defaultdict(set)
+    for r in seed_chains.passages(documents(rows)).collect():
+        assert r.doc_id // 2 == r.other_id // 2
+        covered[r.doc_id] |= set(range(r.start, r.end))
+        covered[r.other_id] |= set(range(r.other_start, r.other_end))
+        mine, theirs = texts[r.doc_id][r.start : r.end], texts[r.other_id][r.other_start : r.other_end]
+        alike = len(set(mine) & set(theirs))
+        assert min(len(mine), len(theirs)) >= 40 and alike >= 0.75 * max(len(mine), len(theirs))
+    for i, places in shared.items():
+        assert places <= covered[i]
+
+
 def test_chain_prefers_collinear_matches():
     a, b = np.array([0, 20, 25, 40, 60]), np.array([100, 120, 10, 140, 160])
     assert seed_chains.chains(a, b)[0] == [0, 1, 3, 4]
