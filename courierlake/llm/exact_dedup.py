@@ -162,12 +162,24 @@ def exact_dedup(
 
 
 def keep_distinct(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; repeated rows stay once."""
-    ids = exact_dedup(docs, text, doc_id).where("kept").select(F.col("doc_id").alias("__id"))
-    rows = docs.select(F.struct("*").alias("__row"), F.col(doc_id).alias("__of"))
-    return (
-        rows.join(ids, F.col("__of").eqNullSafe(F.col("__id")), "left_semi")
-        .groupBy("__of", F.xxhash64(normalised(F.col(f"__row.{text}"))).alias("__key"))
-        .agg(F.first("__row").alias("__row"))
-        .select("__row.*")
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns.
+
+    Of the rows that repeat id and normalised text the one with most code points stays.
+    """
+
+    def keys(number: Column, sha: Column) -> list[Column]:
+        number = number.cast("bigint")
+        none, some = number.isNull().alias("__none"), F.coalesce(number, F.lit(0)).alias("__id")
+        return [none, some, sha.alias("__sha")]
+
+    kept = exact_dedup(docs, text, doc_id).where("kept")
+    of = F.col(f"__row.{text}")
+    # One row for each id and text first, in each map task: copies without an id are one key.
+    once = (
+        docs.select(F.struct("*").alias("__row"), F.col(doc_id).alias("__of"))
+        .select("__row", *keys(F.col("__of"), F.sha2(normalised(of), 256)))
+        .groupBy("__none", "__id", "__sha")
+        .agg(F.max_by("__row", F.struct(F.char_length(whole_text(of)), F.xxhash64(of))).alias("__row"))
     )
+    ids = kept.select(*keys(F.col("doc_id"), F.col("text_sha256")))
+    return once.join(ids, ["__none", "__id", "__sha"], "left_semi").select("__row.*")

@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courierlake.llm.common import lookup, stored, whole_text
@@ -68,19 +68,30 @@ def _digest(shingles: np.ndarray) -> bytes:
     return first.sum(dtype=np.uint64).tobytes() + second.sum(dtype=np.uint64).tobytes()
 
 
-def shingled(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n, cls) for every row; ``cls`` is null where there is no shingle."""
+def shingled(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carried: Column | None = None
+) -> DataFrame:
+    """(doc_id, n, cls, carried) for every row; ``cls`` is null where there is no shingle."""
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [(len(s), _digest(s) if len(s) else None) for s in shingle_sets(batch["text"], WORDS)]
             out = pd.DataFrame(sets, columns=["n", "cls"])
             yield pd.DataFrame(
-                {"doc_id": batch["doc_id"].astype("Int64"), "n": out["n"], "cls": out["cls"].astype(object)}
+                {
+                    "doc_id": batch["doc_id"].astype("Int64"),
+                    "n": out["n"],
+                    "cls": out["cls"].astype(object),
+                    "carried": batch["carried"],
+                }
             )
 
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(F.col(text)).alias("text"))
-    return narrow.mapInPandas(measure, "doc_id long, n long, cls binary")
+    narrow = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"),
+        whole_text(F.col(text)).alias("text"),
+        (F.lit(None) if carried is None else carried).cast("string").alias("carried"),
+    )
+    return narrow.mapInPandas(measure, "doc_id long, n long, cls binary, carried string")
 
 
 def _pack(tokens: np.ndarray, bits: int) -> bytes:
@@ -408,9 +419,12 @@ def class_links(classes: DataFrame) -> DataFrame | None:
     return links
 
 
-def ngram_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
-    rows = stored(shingled(docs, text, doc_id), "shingled")
+def _with_components(docs: DataFrame, text: str, doc_id: str, carried: Column | None = None) -> DataFrame:
+    """(doc_id, n, carried, root, component_id) for every row; ``root`` is null without shingles.
+
+    Components of rows that repeat an id may have the same ``component_id``, but never the same root.
+    """
+    rows = stored(shingled(docs, text, doc_id, carried), "shingled")
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     classes = stored(partners(docs, total, text), "classes")
     links = class_links(classes)
@@ -425,25 +439,45 @@ def ngram_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     named = own.groupBy("root").agg(
         F.count("*").alias("classes"), F.min("least").alias("component_id")
     )
-    ids = lookup(own, named, ["root"], "classes", own.count()).select("cls", "held", "component_id")
+    ids = lookup(own, named, ["root"], "classes", own.count()).select("cls", "held", "root", "component_id")
     found = lookup(rows.where("cls is not null"), ids, ["cls"], "held", rows.count())
-    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(
+    return found.select("doc_id", "n", "carried", "root", "component_id").unionByName(
         rows.where("cls is null").select(
-            "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")
+            "doc_id", "n", "carried", F.col("cls").alias("root"), F.col("doc_id").alias("component_id")
         )
     )
 
 
+def ngram_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+    found = _with_components(docs, text, doc_id)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 def keep_one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row of each component, with all its columns: the one with the smallest id.
 
-    Rows that repeat id and text stay once; rows without shingles or without an id all stay.
+    If that id has several texts in the component, the one with the smallest SHA-256 stays. Rows that
+    repeat id and text stay once; rows without shingles or without an id all stay.
     """
-    found = ngram_components(docs, text, doc_id)
-    ids = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id"))
+
+    def sha(of: Column) -> Column:
+        return F.sha2(whole_text(of), 256)
+
+    found = _with_components(docs, text, doc_id, sha(F.col(text))).where("doc_id = component_id")
+    ids = (
+        found.where("root is not null")
+        .groupBy("root")
+        .agg(F.first("doc_id").alias("__of"), F.min("carried").alias("__sha"))
+        .select("__of", "__sha")
+        .unionByName(found.where("root is null").select(F.col("doc_id").alias("__of"), F.col("carried").alias("__sha")))
+    )
     rows = docs.select(F.struct("*").alias("__row"), F.col(doc_id).cast("long").alias("__of"))
-    kept = rows.join(ids, F.col("__of") == F.col("__id"), "left_semi")
-    once = kept.groupBy("__of", F.xxhash64(F.col(f"__row.{text}")).alias("__key")).agg(
-        F.first("__row").alias("__row")
+    once = (
+        rows.where("__of is not null")
+        .withColumn("__sha", sha(F.col(f"__row.{text}")))
+        .groupBy("__of", "__sha", F.col(f"__row.{text}").isNull().alias("__none"))
+        .agg(F.first("__row").alias("__row"))
     )
-    return once.select("__row.*").unionByName(rows.where("__of is null").select("__row.*"))
+    kept = once.join(ids, ["__of", "__sha"], "left_semi")
+    return kept.select("__row.*").unionByName(rows.where("__of is null").select("__row.*"))

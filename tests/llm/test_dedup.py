@@ -64,6 +64,15 @@ def test_exact_dedup_keeps_whole_rows(documents):
     ]
 
 
+def test_exact_dedup_keeps_what_it_decided(documents):
+    """Ids that repeat with other texts, rows without an id, and copies of one id and text."""
+    rows = [(5, "A"), (7, "A"), (7, "B"), (None, "A"), (None, "C"), (None, "C"), (None, "B"), (8, "D"), (8, "D  ")]
+    decided = {(r.doc_id, r.text_sha256) for r in exact_dedup.exact_dedup(documents(rows)).collect() if r.kept}
+    assert len(decided) == 4
+    kept = exact_dedup.keep_distinct(documents(rows).repartition(3)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, "C"), (5, "A"), (7, "B"), (8, "D  ")]
+
+
 def test_directory_splits_overfull_buckets(spark):
     keys = spark.range(4000).select(F.xxhash64("id").alias("key"))
     table = exact_dedup.directory(keys, 100)
@@ -194,6 +203,15 @@ def test_one_of_each_component_stays(documents):
     assert got == [(0, text), (2, text + " end"), (9, "other"), (10, None)]
 
 
+def test_one_of_each_component_stays_with_repeated_ids(documents):
+    text, other, third = (" ".join(f"{c}{k}" for k in range(40)) for c in "abc")
+    rows = [(1, text), (2, text + " end"), (2, other), (3, other + " end"), (3, third), (4, third), (4, third + " end")]
+    rows += [(6, "six words that stand alone here"), (6, "SIX words that stand alone here"), (2, "")]
+    kept = ngram_join.keep_one_of_each(documents(rows).repartition(3)).collect()
+    six = min((t for i, t in rows if i == 6), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, text), (2, ""), (2, other), (3, third), (6, six)])
+
+
 # --- suffix arrays
 
 
