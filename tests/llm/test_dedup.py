@@ -366,6 +366,33 @@ def test_chains_keep_both_passages_around_a_gap(documents):
         assert places <= covered[i]
 
 
+def test_chains_find_passages_of_frequent_lines(documents, monkeypatch):
+    """Two texts share lines in a row, each of which many others hold alone; small cells are salted."""
+    monkeypatch.setattr(seed_chains, "CELL", 10)
+    rnd = random.Random(11)
+    words = [f"w{k}" for k in range(50_000)]
+
+    def prose(n):
+        return [rnd.choice(words) for _ in range(n)]
+
+    rows, planted = [], {}
+    for k in range(4):
+        lines = [prose(27) for _ in range(2)]
+        for line in lines:
+            rows += [(len(rows) + m, prose(50) + line + prose(30)) for m in range(30)]
+        # The last two hold a line early, and the passage later.
+        texts = [prose(40) + lines[0] + prose(1) + lines[1] + prose(9) for _ in range(2)]
+        texts += [lines[m] + prose(60) + lines[0] + prose(1) + lines[1] for m in range(2)]
+        planted[k] = {len(rows) + m for m in range(len(texts))}
+        rows += [(len(rows) + m, text) for m, text in enumerate(texts)]
+    found = seed_chains.passages(documents([(i, " ".join(t)) for i, t in rows]).repartition(4)).collect()
+    assert {r.doc_id for r in found} | {r.other_id for r in found} == set().union(*planted.values())
+    texts = dict(rows)
+    for r in found:
+        mine, theirs = texts[r.doc_id][r.start : r.end], texts[r.other_id][r.other_start : r.other_end]
+        assert len(mine) >= 55 and len(set(mine) & set(theirs)) >= 54
+
+
 def test_chain_prefers_collinear_matches():
     a, b = np.array([0, 20, 25, 40, 60]), np.array([100, 120, 10, 140, 160])
     assert seed_chains.chains(a, b)[0] == [0, 1, 3, 4]
