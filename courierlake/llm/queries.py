@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from courierlake.llm import oracles
 from courierlake.llm.common import table
 from courierlake.llm.exact_dedup import exact_dedup
+from courierlake.llm.filter_audit import filter_audit
+from courierlake.llm.merkle import manifest_digests
+from courierlake.llm.mixing import mix
 from courierlake.llm.multi_index import nearest
 from courierlake.llm.ngram_join import ngram_components
 from courierlake.llm.packing import pack
@@ -67,6 +70,18 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_chains": op1_substring_chains,
     "op2_quality_classifier": op2_quality_classifier,
@@ -78,8 +93,14 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_source_mixing": op12_source_mixing,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
     "op8_exact_dedup": oracles.EXACT_DEDUP,
+    "op11_merkle_manifest": oracles.MERKLE_MANIFEST,
+    "op12_source_mixing": oracles.SOURCE_MIXING,
+    "op13_filter_audit": oracles.FILTER_AUDIT,
 }
