@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,12 +14,12 @@ from checks.bronze import bronze, pipeline, table
 from checks.oracle.silver import silver_ctes
 from checks.oracle.sql import with_
 from courierlake.operators import quality
-from courierlake.session import scratch_path
+from courierlake.session import materialize, scratch_path
 from courierlake.sources import events as ev
 from courierlake.sources import tables
 from courierlake.sources.schemas import PRIMARY_KEYS, TOPICS
+from courierlake.streaming import latest, metrics, recovery
 from courierlake.streaming import topics as st
-from courierlake.streaming import upsert
 
 INGEST: dict[str, tuple] = {}
 
@@ -189,14 +189,24 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _from_catalog(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of a catalog table, whose schema is dropped."""
+    rows = materialize(spark.table(name), "table")
+    spark.sql(f"DROP SCHEMA {name.split('.')[0]} CASCADE")
+    return rows
+
+
 @op("sink_append_bronze", "SELECT * REPLACE (CAST(o_orderdate AS VARCHAR) AS o_orderdate) FROM orders")
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    root, schema = scratch_path(spark, "bronze"), f"bronze_{uuid.uuid4().hex[:12]}"
+    """Orders reach a catalog table by two runs of the loader, the first of which creates it."""
+    landed, root, ckpt = (scratch_path(spark, n) for n in ("landed", "bronze", "ckpt"))
+    name = f"bronze_{uuid.uuid4().hex[:12]}.orders"
     orders = table(spark, sf, "orders")
     early = F.col("o_orderdate") < "1998-01-01"
     for part in (orders.filter(early), orders.filter(~early | early.isNull())):
-        name = tables.append_table(part, schema, "orders", root)
-    return spark.table(name)
+        tables.land(part, landed)
+        st.load_table(spark, landed, orders.schema, name, root, ckpt).awaitTermination()
+    return _from_catalog(spark, name)
 
 
 @op(
@@ -213,7 +223,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     before = orders.withColumn("o_orderstatus", F.lit("old"))
     for rows in (before, orders.repartition("order_month")):
         name = tables.overwrite_table(rows, schema, "orders", root, ("order_month",))
-    return spark.table(name)
+    return _from_catalog(spark, name)
 
 
 # --- streams -------------------------------------------------------------------------
@@ -272,16 +282,54 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return _in_two_loads(spark, sf, "delete")
 
 
+LATEST_KEYS = ["user_id", "event_type"]
+
+
 @op(
     "stream_dedup_upsert",
     f"SELECT {EVENT_COLUMNS} FROM events QUALIFY row_number() OVER "
     "(PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    snapshot = scratch_path(spark, "snapshot")
-    return upsert.write_snapshot(
-        _in_two_loads(spark, sf), ["user_id", "event_type"], "event_id", snapshot
-    )
+    """One stateful stream: two micro-batches and a snapshot, then a restart with late and repeated rows."""
+    landed, log, ckpt, root = (scratch_path(spark, n) for n in ("landed", "log", "ckpt", "snapshots"))
+    events = _events(spark, sf)
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    runs = [
+        [events.filter(third == 0), events.filter(third == 1)],
+        # In any part there are rows older than what has come before; some come a second time.
+        [events.filter((third == 2) | (F.col("event_id") % 5 == 0))],
+    ]
+    for parts in runs:
+        for part in parts:
+            tables.land(part.coalesce(1), landed)
+        stream = st.landed_rows(spark, landed, EVENT_SCHEMA, maxFilesPerTrigger="1")
+        latest.start_latest(stream, LATEST_KEYS, "event_id", log, ckpt).awaitTermination()
+        table_now = latest.write_snapshot(spark, log, ckpt, LATEST_KEYS, "event_id", root, EVENT_SCHEMA)
+    return table_now
+
+
+@op("stream_crash_resume", f"SELECT {EVENT_COLUMNS} FROM events")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """A loader dies between write and commit, resumes, and later replays from its second batch."""
+    landed, bronze_path, ckpt = (scratch_path(spark, n) for n in ("landed", "bronze", "ckpt"))
+    events = _events(spark, sf)
+    parts = [events.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == k) for k in range(4)]
+
+    def load(*new: DataFrame) -> None:
+        for part in new:
+            tables.land(part.coalesce(1), landed)
+        st.load_bronze(
+            spark, landed, EVENT_SCHEMA, bronze_path, ckpt, maxFilesPerTrigger="1"
+        ).awaitTermination()
+
+    load(*parts[:3])
+    recovery.forget_commit(spark, ckpt)
+    load()  # the batch is run again and found in the sink's log
+    load(parts[3])
+    recovery.rewind(spark, ckpt, bronze_path, 1)
+    load()  # all that followed the second batch is read and written again
+    return spark.read.schema(EVENT_SCHEMA).parquet(bronze_path)
 
 
 # --- quality -------------------------------------------------------------------------
@@ -407,6 +455,15 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 # --- audits --------------------------------------------------------------------------
 
 
+def _audited(spark: SparkSession, messages: DataFrame, keep: Column | None = None) -> DataFrame:
+    """Received against landed, as the stream that lands the messages has observed it."""
+    log, path, ckpt = (scratch_path(spark, n) for n in ("messages", "landed", "ckpt"))
+    ev.publish(messages, log, fmt="parquet")
+    stream = st.read_topics(spark, log, fmt="parquet", maxFilesPerTrigger="5")
+    query = metrics.land_audited(stream, path, ckpt, TOPICS, keep)
+    return metrics.received_and_landed(spark, metrics.observed_batches(query), TOPICS)
+
+
 @op(
     "audit_rowcount",
     per_topic(
@@ -451,4 +508,19 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.received_and_landed(*_land_all_topics(spark, sf))
+    return _audited(spark, _topic_messages(spark, sf))
+
+
+@op(
+    "audit_lossy_stream",
+    per_topic(
+        "SELECT '{t}' AS topic, count(*) AS received, count(*) - lost AS landed, lost FROM (SELECT "
+        "*, count(*) FILTER (right({key}, 1) = '7') OVER () AS lost FROM {bronze}) GROUP BY lost"
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages that break off are not landed, and the stream counts them as lost."""
+    broken = F.coalesce(F.col("key").endswith("7"), F.lit(False))
+    half = F.col("value").substr(F.lit(1), F.length("value") - 1)
+    messages = _topic_messages(spark, sf).withColumn("value", F.when(broken, half).otherwise(F.col("value")))
+    return _audited(spark, messages, keep=F.try_parse_json("value").isNotNull())

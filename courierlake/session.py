@@ -66,6 +66,11 @@ def _private_root(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"courierlake-{application}-")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 _made: list[str] = []
 
 

@@ -12,10 +12,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from courierlake.sources.events import from_messages
+from courierlake.session import exists
 from courierlake.sources.schemas import TOPICS, bronze_schema
 
 MESSAGE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("topic", "key", "value")])
 FLUSH_EVERY = "15 seconds"
+# A flush by size or by time: a micro-batch waits for so many messages, but no longer than the interval.
+LEAST_MESSAGES = "1000"
 # What one micro-batch takes of a backlog, so that a failure repeats no more than that.
 MESSAGES_PER_TRIGGER = "1000000"
 FILES_PER_TRIGGER = "1000"
@@ -39,7 +42,12 @@ def read_topics(
         reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", source)
         reader = reader.option("subscribe", ",".join(topics))
         reader = reader.option("startingOffsets", "earliest")
-        reader = reader.options(**{"maxOffsetsPerTrigger": MESSAGES_PER_TRIGGER} | options)
+        bounds = {
+            "minOffsetsPerTrigger": LEAST_MESSAGES,
+            "maxTriggerDelay": FLUSH_EVERY,
+            "maxOffsetsPerTrigger": MESSAGES_PER_TRIGGER,
+        }
+        reader = reader.options(**bounds | options)
         return reader.load().selectExpr(
             "topic", "CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value"
         )
@@ -103,6 +111,24 @@ def land_topics(
     return queries
 
 
+def landed_rows(
+    spark: SparkSession,
+    landed: str,
+    schema: T.StructType,
+    clean_source: str = "off",
+    archive: str | None = None,
+    **options: str,
+) -> DataFrame:
+    """New files of a folder, a bounded number in each micro-batch."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
+    bounds = {"maxFilesPerTrigger": FILES_PER_TRIGGER, "maxFileAge": MAX_FILE_AGE}
+    reader = reader.options(**bounds | options)
+    reader = reader.option("cleanSource", clean_source)
+    if archive:
+        reader = reader.option("sourceArchiveDir", archive)
+    return reader.parquet(landed)
+
+
 def load_bronze(
     spark: SparkSession,
     landed: str,
@@ -119,11 +145,33 @@ def load_bronze(
     ``clean_source`` may be "delete", or "archive" with a folder, to take loaded files away.
     ``options`` go to the reader and may change the bounds of a micro-batch.
     """
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
-    bounds = {"maxFilesPerTrigger": FILES_PER_TRIGGER, "maxFileAge": MAX_FILE_AGE}
-    reader = reader.options(**bounds | options)
-    reader = reader.option("cleanSource", clean_source)
-    if archive:
-        reader = reader.option("sourceArchiveDir", archive)
-    writer = reader.parquet(landed).writeStream.format("parquet").option("path", table_path)
+    rows = landed_rows(spark, landed, schema, clean_source, archive, **options)
+    writer = rows.writeStream.format("parquet").option("path", table_path)
     return _start(writer.option("checkpointLocation", checkpoint), drain, LOAD_EVERY)
+
+
+def load_table(
+    spark: SparkSession,
+    landed: str,
+    schema: T.StructType,
+    name: str,
+    root: str,
+    checkpoint: str,
+    drain: bool = True,
+    **options: str,
+) -> StreamingQuery:
+    """Append files that have not been loaded yet to the catalog table ``schema.table``.
+
+    Schema and table are created if they are missing, below ``root``. The sink's log lies with the
+    table's files, so readers of the table see committed batches only. It knows batches by their
+    numbers, so all runs that load a table share one checkpoint.
+    """
+    database, table = name.split(".")
+    path = f"{root}/{database}/{table}"
+    if exists(spark, f"{path}/_spark_metadata") and not exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"{name} is loaded by another checkpoint than {checkpoint}")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database} LOCATION '{root}/{database}'")
+    writer = landed_rows(spark, landed, schema, **options).writeStream
+    writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=LOAD_EVERY)
+    return writer.toTable(name, format="parquet", outputMode="append", path=path)
