@@ -1,9 +1,12 @@
 """Windows over long sequences, without bringing a sequence into one task.
 
-Rows are range-partitioned by their full order into slices of about ``SLICE_ROWS`` rows, which
-balances any distribution, and that layout is written with each row's slice so that it can no longer
-change. Each slice is then lagged or summed on its own. What a slice needs of the ones before it is
-bounded by the number of slices: sums, and the last rows of each for a lag.
+Rows are range-partitioned by their full order, which balances any distribution, and sorted; that layout
+is written with each row's place in its slice, so that it can no longer change, and is the only copy that is
+stored. The ranges are sampled from the input itself: where that is an aggregate, its shuffle is read for
+the sample and for the slices. The number of slices is that of the cluster's shuffle partitions.
+
+What a slice needs of the ones before it is their sum, for a running sum. For a lag, rows are numbered
+over all slices and dealt to blocks of equal size; the last rows of a block are sent to the next one too.
 """
 
 from __future__ import annotations
@@ -15,35 +18,56 @@ from pyspark.sql import functions as F
 from courierlake.session import materialize
 
 SLICE_ROWS = 1_000_000
+# A row's place: its slice above these bits, its number in the slice in them.
+_ROW_BITS = 33
+
+
+def _in_slices(df: DataFrame, keys: list[Column]) -> DataFrame:
+    """``df`` in the order of ``keys``, stored with ``_slice`` and ``_row``, the number in the slice from 0."""
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    stored = materialize(ranged.withColumn("_place", F.monotonically_increasing_id()), "slices")
+    return stored.withColumns(
+        {
+            "_slice": F.shiftright("_place", _ROW_BITS),
+            "_row": F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
+        }
+    ).drop("_place")
 
 
-def _in_slices(df: DataFrame, groups: list[str], order: list[Column], slice_rows: int) -> DataFrame:
-    """``df`` with ``_slice``. The input is stored first: ranges are sampled from it."""
-    stored = materialize(df, "sequence")
-    slices = max(1, -(-stored.count() // slice_rows))
-    keys = [F.col(g).asc_nulls_first() for g in groups] + order
-    ranged = stored.repartitionByRange(slices, *keys).withColumn("_slice", F.spark_partition_id())
-    return materialize(ranged, "slices")
+def _before(df: DataFrame, part: str, value: Column) -> DataFrame:
+    """(part, _before, _all): the sum of ``value`` over earlier parts and over all of them.
+
+    A row for each part, of which there is one for about a million rows.
+    """
+    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    totals = df.groupBy(part).agg(F.sum(value).alias("_total"))
+    return totals.select(
+        part,
+        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_total").over(Window.partitionBy()).alias("_all"),
+    )
 
 
 def running_sum(
-    df: DataFrame, value: str, order: list[Column], name: str, slice_rows: int = SLICE_ROWS
+    df: DataFrame,
+    value: str,
+    order: list[Column],
+    name: str,
+    slice_rows: int = SLICE_ROWS,
+    total: str | None = None,
 ) -> DataFrame:
-    """Sum of ``value`` over all rows up to this one. ``order`` must be total."""
-    sliced = _in_slices(df, [], order, slice_rows)
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        sliced.groupBy("_slice")
-        .agg(F.sum(value).alias("_total"))
-        .select("_slice", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
-    )
-    local = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.col("_before") + F.sum(value).over(local)
-    return (
-        sliced.join(F.broadcast(before), "_slice")  # a row for each slice
-        .withColumn(name, total)
-        .drop("_before", "_slice")
-    )
+    """Sum of ``value`` over all rows up to this one, and over all rows as ``total`` if that is named.
+
+    ``order`` must be total. A slice of more than ``slice_rows`` rows is summed in several parts.
+    """
+    part = F.shiftleft("_slice", _ROW_BITS) + F.floor(F.col("_row") / slice_rows)
+    parts = _in_slices(df, order).withColumn("_part", part)
+    local = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    sums = {name: F.col("_before") + F.sum(value).over(local)}
+    if total:
+        sums[total] = F.col("_all")
+    joined = parts.join(_before(parts, "_part", F.col(value)), "_part")
+    return joined.withColumns(sums).select(*df.columns, *sums)
 
 
 def lag_rows(
@@ -55,77 +79,26 @@ def lag_rows(
 ) -> DataFrame:
     """``LAG(column, offset)`` per group for ``{name: (column, offset)}``; ``order`` must be total.
 
-    Only the first group of a slice can have begun in an earlier one. A lag that reaches out of the
-    slice ends among the last rows of an earlier slice, since a lag is no longer than its reach;
-    these rows are numbered within the group and looked up by number.
+    The rows of a group stand side by side, so a lag reaches back by its offset in the numbers of all
+    rows. A block of ``slice_rows`` rows, or of as many as the longest lag reaches back if that is
+    more, needs nothing but the last rows of the block before.
     """
     reach = max(offset for _, offset in lags.values())
-    columns = list(dict.fromkeys(c for c, _ in lags.values()))
-    names = [f"_g{k}" for k in range(len(groups))]
-    sliced = _in_slices(df, groups, order, slice_rows)
-    local = Window.partitionBy(*groups, "_slice").orderBy(*order)
-    rows = sliced.withColumn("_row", F.row_number().over(local)).withColumns(
-        {name: F.lag(c, offset).over(local) for name, (c, offset) in lags.items()}
-    )
-
-    parts = sliced.groupBy(*groups, "_slice").agg(F.count("*").alias("_n"))
-    parts = parts.select(*[F.col(g).alias(n) for g, n in zip(groups, names, strict=True)], "_slice", "_n")
-    by_slice = Window.partitionBy(*names).orderBy("_slice")
-    spans = materialize(
-        parts.withColumns(
-            {
-                "_before": F.coalesce(
-                    F.sum("_n").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-                ),
-                "_after": F.count("*").over(by_slice.rowsBetween(1, Window.unboundedFollowing)),
-            }
-        ).where("_before > 0 or _after > 0"),
-        "spans",
-    )  # groups of several slices: at most two rows for each slice
-
-    def spanning(which: str) -> DataFrame:
-        same = F.col("_slice") == F.col("_s")
-        for g, n in zip(groups, names, strict=True):
-            same = same & F.col(g).eqNullSafe(F.col(n))
-        own = spans.where(which).withColumnRenamed("_slice", "_s")
-        return rows.join(F.broadcast(own), same)
-
-    tails = spanning("_after > 0").where(F.col("_row") > F.col("_n") - reach).select(
-        *names, (F.col("_before") + F.col("_row")).alias("_at"), *[F.col(c).alias(f"_v_{c}") for c in columns]
-    )
-    heads = spanning("_before > 0").where(F.col("_row") <= reach)
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(name).alias("name"), F.lit(offset).alias("offset"))
-                for name, (_, offset) in lags.items()
-            ]
-        )
-    )
-    asked = (
-        heads.select(*names, "_s", "_row", (F.col("_before") + F.col("_row")).alias("_here"), wanted.alias("w"))
-        .where("_row <= w.offset")
-        .withColumn("_at", F.col("_here") - F.col("w.offset"))
-    )
-    same = F.col("a._at") == F.col("t._at")
-    for n in names:
-        same = same & F.col(f"a.{n}").eqNullSafe(F.col(f"t.{n}"))
-    found = asked.alias("a").join(tails.alias("t"), same).groupBy(
-        *[F.col(f"a.{n}").alias(n) for n in names], "_s", F.col("a._row").alias("_r")
+    size = max(slice_rows, reach)
+    sliced = _in_slices(df, [F.col(g).asc_nulls_first() for g in groups] + order)
+    numbered = sliced.join(_before(sliced, "_slice", F.lit(1)), "_slice").withColumn(
+        "_at", F.col("_before") + F.col("_row")
     )
-    patch = found.agg(
-        *[
-            F.max(F.when(F.col("w.name") == name, F.struct(F.col(f"_v_{c}").alias("v")))).alias(f"_p_{name}")
-            for name, (c, _) in lags.items()
-        ]
+    own = F.floor(F.col("_at") / size)
+    halo = F.col("_at") % size >= size - reach
+    dealt = numbered.select(
+        *df.columns,
+        "_at",
+        F.explode(F.when(halo, F.array(own, own + 1)).otherwise(F.array(own))).alias("_block"),
     )
-    same = (F.col("_slice") == F.col("_s")) & (F.col("_row") == F.col("_r"))
-    for g, n in zip(groups, names, strict=True):
-        same = same & F.col(g).eqNullSafe(F.col(n))
-    # A patch has at most ``reach`` rows for each slice.
-    joined = rows.join(F.broadcast(patch), same, "left")
-    patched = {name: F.coalesce(F.col(f"_p_{name}.v"), F.col(name)) for name in lags}
-    return joined.withColumns(patched).select(*df.columns, *lags)
+    in_block = Window.partitionBy(*groups, "_block").orderBy("_at")
+    lagged = dealt.withColumns({n: F.lag(c, offset).over(in_block) for n, (c, offset) in lags.items()})
+    return lagged.where(own == F.col("_block")).select(*df.columns, *lags)
 
 
 def lag_days(

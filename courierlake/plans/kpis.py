@@ -21,7 +21,6 @@ from courierlake.functions import (
 from courierlake.operators.sequences import running_sum
 from courierlake.operators.skew import lookup_join
 from courierlake.plans.marts import growth, payments_summary
-from courierlake.session import materialize
 from courierlake.plans.values import CANCELLED, COLLECTED
 
 
@@ -198,13 +197,11 @@ def customer_revenue(orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
 
 def pareto(per_customer: DataFrame) -> DataFrame:
     """Customers by falling revenue with their cumulative share of the total."""
-    known = materialize(per_customer, "per_customer").filter(F.col("revenue_usd").isNotNull())
+    known = per_customer.filter(F.col("revenue_usd").isNotNull())
     order = [F.col("revenue_usd").desc(), F.col("customer_id").asc()]
-    ranked = running_sum(known, "revenue_usd", order, "running_revenue_usd")
-    total = known.agg(F.sum("revenue_usd")).scalar()
-    return ranked.select(
-        "*", percent(F.col("running_revenue_usd"), total).alias("cumulative_share_pct")
-    )
+    ranked = running_sum(known, "revenue_usd", order, "running_revenue_usd", total="_total_usd")
+    share = percent(F.col("running_revenue_usd"), F.col("_total_usd")).alias("cumulative_share_pct")
+    return ranked.select(*per_customer.columns, "running_revenue_usd", share)
 
 
 def segment_share(per_customer: DataFrame) -> DataFrame:
