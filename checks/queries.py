@@ -112,7 +112,7 @@ def _kpis() -> None:
             pipeline(s, d).fct_billing
         ),
         "eda_cohort": lambda s, d: kpis.cohorts(
-            (p := pipeline(s, d)).fct_billing, p.stored_restaurants
+            (p := pipeline(s, d).share("fct_billing", "dim_restaurants")).fct_billing, p.stored_restaurants
         ),
         "eda_decompose": lambda s, d: kpis.decompose(pipeline(s, d).fct_orders),
     }

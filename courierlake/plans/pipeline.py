@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from datetime import date
 from functools import cached_property
@@ -13,12 +14,45 @@ from courierlake.plans.silver import SILVER
 from courierlake.session import materialize
 
 
+#: What each model reads. Silver tables read bronze.
+READS = {
+    "fct_orders": ("silver_orders",),
+    "fct_payments": ("silver_payments",),
+    "fct_delivery": ("silver_delivery",),
+    "fct_reviews": ("silver_reviews",),
+    "fct_billing": ("silver_billing",),
+    "dim_customers": ("silver_customers", "silver_users"),
+    "dim_restaurants": ("silver_restaurants", "silver_billing"),
+    "dim_drivers": ("silver_drivers",),
+    "dim_promotions": ("silver_promotions",),
+    "dim_users": ("silver_users",),
+    "star_orders": ("silver_orders", "silver_payments", "dim_customers", "dim_restaurants"),
+    "mart_revenue": ("star_orders",),
+    "revenue_growth_by_day": ("star_orders",),
+    "mart_subscription": ("fct_billing", "dim_restaurants"),
+}
+
+
+def shared_nodes(*models: str) -> set[str]:
+    """What two or more models read in a run that builds the given ones."""
+    readers: Counter[str] = Counter()
+    todo, seen = list(models), set()
+    while todo:
+        model = todo.pop()
+        if model not in seen:
+            seen.add(model)
+            readers.update(READS.get(model, ()))
+            todo += READS.get(model, ())
+    return {node for node, n in readers.items() if n > 1}
+
+
 class Pipeline:
     """The model graph over a set of bronze tables.
 
     ``bronze(topic)`` returns a bronze table. Silver tables are plans, evaluated inside
     whatever reads them; a run that builds several models should set ``store_silver``, so
     that each is cleaned and deduplicated once and its readers scan only their columns.
+    Without it only the tables that two models of a run read are stored; ``share`` names the run.
     Dimensions that a mart joins are always written out first: the mart then knows their
     true size, and two readers do not compute them twice.
     """
@@ -30,6 +64,12 @@ class Pipeline:
         self.as_of = as_of
         self.store_silver = store_silver
         self._silver: dict[str, DataFrame] = {}
+        self._shared: set[str] = set()
+
+    def share(self, *models: str) -> Pipeline:
+        """Build these models in one run: a silver table that several of them read is stored."""
+        self._shared |= shared_nodes(*models)
+        return self
 
     def bronze(self, topic: str) -> DataFrame:
         return self._bronze(topic)
@@ -37,7 +77,8 @@ class Pipeline:
     def silver(self, topic: str) -> DataFrame:
         if topic not in self._silver:
             table = SILVER[topic](self._bronze(topic), self.as_of)
-            self._silver[topic] = materialize(table, f"silver_{topic}") if self.store_silver else table
+            store = self.store_silver or f"silver_{topic}" in self._shared
+            self._silver[topic] = materialize(table, f"silver_{topic}") if store else table
         return self._silver[topic]
 
     @cached_property
@@ -108,4 +149,5 @@ class Pipeline:
 
     @cached_property
     def mart_subscription(self) -> DataFrame:
+        self.share("mart_subscription")
         return marts.mart_subscription(self.fct_billing, self.stored_restaurants)

@@ -31,6 +31,7 @@ def register_silver(pipeline: Pipeline, prefix: str = "silver_") -> list[str]:
 
 def publish_gold(pipeline: Pipeline, root: str, schema: str = "gold") -> dict[str, str]:
     """Write the star schema. Returns the table name of each model."""
+    pipeline.share(*GOLD)
     return {
         model: overwrite_table(getattr(pipeline, model), schema, model, root) for model in GOLD
     }
