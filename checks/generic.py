@@ -554,6 +554,19 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@op(
+    "agg_ordinal",
+    """SELECT l_linestatus, l_returnflag, count(*) AS n, max(l_quantity) AS largest
+       FROM lineitem GROUP BY 1, 2""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.sql(
+        "SELECT l_linestatus, l_returnflag, count(*) AS n, max(l_quantity) AS largest "
+        "FROM {lineitem} GROUP BY 1, 2",
+        lineitem=table(spark, sf, "lineitem"),
+    )
+
+
 @op(
     "agg_conditional",
     """SELECT l_suppkey, count(*) FILTER (l_returnflag = 'R') AS returned,

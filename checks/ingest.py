@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,7 @@ from courierlake.session import materialize, scratch_path
 from courierlake.sources import events as ev
 from courierlake.sources import tables
 from courierlake.sources.schemas import PRIMARY_KEYS, TOPICS
-from courierlake.streaming import latest, metrics, recovery
+from courierlake.streaming import latest, metrics, recovery, runs
 from courierlake.streaming import topics as st
 
 INGEST: dict[str, tuple] = {}
@@ -112,6 +112,27 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return ev.to_messages(rows, "events")
 
 
+@op(
+    "src_json_types",
+    """SELECT 'events' AS topic, CAST(event_id AS VARCHAR) AS key,
+       '{"event_id":' || event_id || ',"ratio":' || CAST((event_id % 1000) / 8.0 AS DOUBLE) ||
+       ',"pair":[' || event_id || ',' || user_id || '],"kinds":["' || event_type || '",null],"none":' ||
+       CASE WHEN event_id % 2 = 0 THEN 'null' ELSE '[]' END || ',"at":{"day":"' ||
+       strftime(ts, '%Y-%m-%d') || '"}}' AS value FROM events""",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Floats, arrays with and without values, and a nested struct."""
+    rows = _events(spark, sf).select(
+        "event_id",
+        ((F.col("event_id") % 1000) / F.lit(8.0)).alias("ratio"),
+        F.array("event_id", "user_id").alias("pair"),
+        F.array("event_type", F.lit(None).cast("string")).alias("kinds"),
+        F.when(F.col("event_id") % 2 == 1, F.array().cast("array<int>")).alias("none"),
+        F.struct(F.to_date("ts").alias("day")).alias("at"),
+    )
+    return ev.to_messages(rows, "events")
+
+
 @op(
     "src_json_decode",
     "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, "
@@ -209,6 +230,22 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return _from_catalog(spark, name)
 
 
+@op(
+    "sink_create_zone",
+    "SELECT o_orderstatus, count(*) AS rows, CAST(2 AS BIGINT) AS tables FROM orders GROUP BY 1",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """A zone and its tables are created by the first append; later ones find them."""
+    root, schema = scratch_path(spark, "zone"), f"zone_{uuid.uuid4().hex[:12]}"
+    orders = table(spark, sf, "orders")
+    late = F.col("o_orderkey") % 2 == 1
+    for part, name in ((orders.where(late), "orders"), (orders.where(~late), "orders"), (orders.limit(0), "empty")):
+        tables.append_table(part, schema, name, root)
+    made = spark.sql(f"SHOW TABLES IN {schema}").where("not isTemporary").count()
+    rows = _from_catalog(spark, f"{schema}.orders").groupBy("o_orderstatus").agg(F.count("*").alias("rows"))
+    return rows.withColumn("tables", F.lit(made).cast("long"))
+
+
 @op(
     "sink_overwrite_gold",
     "SELECT o_orderkey, o_orderstatus, CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) "
@@ -277,11 +314,86 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return _in_two_loads(spark, sf)
 
 
+@op("stream_skip_empty", f"SELECT {EVENT_COLUMNS} FROM events")
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Files without rows, alone in a micro-batch and among others, add nothing."""
+    landed, bronze_path, ckpt = (scratch_path(spark, n) for n in ("landed", "bronze", "ckpt"))
+    events = _events(spark, sf)
+    none = events.where(F.lit(False))
+    for parts in ([none], [events.where("event_id % 2 = 0"), none], [none, events.where("event_id % 2 = 1")]):
+        for part in parts:
+            tables.land(part, landed)
+        st.load_bronze(
+            spark, landed, EVENT_SCHEMA, bronze_path, ckpt, maxFilesPerTrigger="1"
+        ).awaitTermination()
+    return spark.read.schema(EVENT_SCHEMA).parquet(bronze_path)
+
+
 @op("stream_load_and_delete", f"SELECT {EVENT_COLUMNS} FROM events")
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return _in_two_loads(spark, sf, "delete")
 
 
+def _filled(topic: str) -> list[str]:
+    return list(ADAPTERS[topic].columns)
+
+
+@op(
+    "stream_load_zone",
+    " UNION ALL ".join(
+        f"SELECT '{t.upper()}' AS \"table\", {PRIMARY_KEYS[t]} AS key, CAST(event_time AS VARCHAR) AS event_time, "
+        + " + ".join(f"CAST({c} IS NOT NULL AS BIGINT)" for c in _filled(t))
+        + f" AS filled FROM ({bronze_cte(t)})"
+        for t in TOPICS
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten topics, with empty files among them, loaded by two runs of one query."""
+    landed, zone, ckpt = (scratch_path(spark, n) for n in ("landed", "zone", "ckpt"))
+    for half in range(2):
+        for topic in TOPICS:
+            rows = bronze(spark, sf, topic)
+            part = F.pmod(F.xxhash64(PRIMARY_KEYS[topic], "event_time"), F.lit(2)) == half
+            tables.land(rows.where(part), f"{landed}/{topic}")
+            tables.land(rows.where(F.lit(False)), f"{landed}/{topic}")
+        st.load_zone(spark, landed, zone, ckpt).awaitTermination()
+    parts = [
+        st.read_zone(spark, zone, topic).select(
+            F.lit(topic.upper()).alias("table"),
+            F.col(PRIMARY_KEYS[topic]).alias("key"),
+            F.col("event_time").cast("string").alias("event_time"),
+            sum((F.col(c).isNotNull().cast("long") for c in _filled(topic)), F.lit(0)).alias("filled"),
+        )
+        for topic in TOPICS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@op(
+    "stream_interval_runs",
+    "SELECT count(*) AS rows, TRUE AS bounded, CAST(0 AS BIGINT) AS overlaps, count(*) AS loaded FROM events",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """A loader at an interval takes a bounded number of rows at a time, one run after the other."""
+    landed, bronze_path, ckpt = (scratch_path(spark, n) for n in ("landed", "bronze", "ckpt"))
+    files = 4
+    tables.land(_events(spark, sf), landed, tables.FLUSH_ROWS)
+    rows = st.landed_rows(spark, landed, EVENT_SCHEMA, maxFilesPerTrigger=str(files))
+    writer = rows.writeStream.format("parquet").option("path", bronze_path).option("checkpointLocation", ckpt)
+    query = writer.trigger(processingTime="100 milliseconds").start()
+    batches = runs.batches_frame(spark, runs.run_until_idle(query, idle=2))
+    loaded = spark.read.schema(EVENT_SCHEMA).parquet(bronze_path).count()
+    # A run may begin in the millisecond in which the one before ends.
+    before = F.lag("ended").over(Window.orderBy("batch"))
+    overlap = F.unix_millis(before) - F.unix_millis("started") > 1
+    return batches.select("rows", overlap.alias("overlap")).agg(
+        F.sum("rows").alias("rows"),
+        (F.max("rows") <= files * tables.FLUSH_ROWS).alias("bounded"),
+        F.count_if("overlap").alias("overlaps"),
+        F.lit(loaded).cast("long").alias("loaded"),
+    )
+
+
 LATEST_KEYS = ["user_id", "event_type"]
 
 

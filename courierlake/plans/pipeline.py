@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import cached_property
 
@@ -129,8 +130,14 @@ class Pipeline:
     def stored_restaurants(self) -> DataFrame:
         return materialize(self.dim_restaurants, "dim_restaurants")
 
+    def _store_dimensions(self) -> None:
+        """Both dimensions of the star at once: each alone leaves most of a cluster idle."""
+        with ThreadPoolExecutor(2) as pool:
+            list(pool.map(lambda name: getattr(self, name), ("stored_customers", "stored_restaurants")))
+
     @cached_property
     def star_orders(self) -> DataFrame:
+        self._store_dimensions()
         return marts.star_orders(
             gold.fct_orders(self.silver("orders"), with_id=True),
             gold.fct_payments(self.silver("payments"), with_id=True),

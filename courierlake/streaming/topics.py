@@ -6,6 +6,8 @@ add nothing twice, and offsets advance only with the files they stand for.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from courierlake.sources.events import from_messages
 from courierlake.session import exists
 from courierlake.sources.schemas import TOPICS, bronze_schema
+from courierlake.sources.tables import table_of_path
 
 MESSAGE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("topic", "key", "value")])
 FLUSH_EVERY = "15 seconds"
@@ -175,3 +178,36 @@ def load_table(
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=LOAD_EVERY)
     return writer.toTable(name, format="parquet", outputMode="append", path=path)
+
+
+def load_zone(
+    spark: SparkSession,
+    landed: str,
+    zone: str,
+    checkpoint: str,
+    topics: tuple[str, ...] = TOPICS,
+    drain: bool = True,
+    **options: str,
+) -> StreamingQuery:
+    """Load a whole landing zone, one folder for each topic, by one query.
+
+    A micro-batch takes new files of all topics and commits them together. Each row goes to the table
+    that its file's path names, a partition of the sink. Topics give columns of one name different types,
+    so a row fills the column of its topic, a struct, and leaves the others null.
+    """
+    parts = []
+    for topic in topics:
+        schema = bronze_schema(topic)
+        rows = landed_rows(spark, f"{landed}/{topic}", schema, **options)
+        table = table_of_path(landed, F.col("_metadata.file_path")).alias("table")
+        parts.append(rows.select(table, F.struct(*schema.names).alias(topic)))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    writer = rows.writeStream.format("parquet").partitionBy("table").option("path", zone)
+    return _start(writer.option("checkpointLocation", checkpoint), drain, LOAD_EVERY)
+
+
+def read_zone(spark: SparkSession, zone: str, topic: str) -> DataFrame:
+    """A table of a zone: its partition, and of that its own struct only."""
+    schema = T.StructType().add(topic, bronze_schema(topic)).add("table", T.StringType())
+    rows = spark.read.schema(schema).parquet(zone)
+    return rows.where(F.col("table") == topic.upper()).select(f"{topic}.*")

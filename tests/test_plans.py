@@ -14,7 +14,7 @@ from courierlake.plans.pipeline import Pipeline
 from courierlake.plans.silver import SILVER
 from courierlake.session import scratch_path
 from courierlake.sources.schemas import PRIMARY_KEYS
-from checks.bronze import bronze
+from checks.bronze import bronze, pipeline
 
 
 def plan(df) -> str:
@@ -84,3 +84,37 @@ def test_stored_silver_is_read_by_column(spark, sf):
     text = plan(stored.fct_orders.groupBy("order_status").count())
     assert re.search(r"ReadSchema: struct<status:string>", text)
     assert "Window" not in text
+
+
+@pytest.mark.parametrize(
+    "name", [n for n in QUERIES if n.startswith(("mart_", "window_", "eda_", "agg_", "sort_", "stream_", "sink_"))]
+)
+def test_last_step_has_no_cross_join_and_no_python(spark, sf, name):
+    """The last step only: what it reads has been stored by steps before."""
+    text = plan(QUERIES[name](spark, sf))
+    for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
+        assert banned not in text, banned
+
+
+def test_lag_stores_one_layout_and_broadcasts_nothing_of_the_rows(spark, monkeypatch):
+    from courierlake.operators import sequences
+
+    stored = []
+    keep = sequences.materialize
+    monkeypatch.setattr(sequences, "materialize", lambda df, name: stored.append(name) or keep(df, name))
+    df = spark.range(1000).selectExpr("id % 3 as g", "id as k", "id * 2 as v")
+    text = plan(sequences.lag_rows(df, ["g"], [F.col("k").asc()], {"p": ("v", 7)}, slice_rows=50))
+    assert stored == ["slices"]
+    # The rows are read once; the other scan counts them by slice.
+    assert text.count("FileScan") == 2 and text.count("ReadSchema: struct<_place:bigint>") == 1
+    assert not re.search(r"broadcast.*\bv#", text.split("FileScan")[0])
+
+
+def test_billing_is_cleaned_once_for_the_subscription_mart(spark, sf):
+    from courierlake.plans.pipeline import shared_nodes
+
+    assert shared_nodes("mart_subscription") == {"silver_billing"}
+    assert shared_nodes("mart_revenue") == set()
+    assert shared_nodes("mart_revenue", "revenue_growth_by_day") == {"star_orders"}
+    text = plan(pipeline(spark, sf).mart_subscription)
+    assert "silver_billing" in text and "Window" not in text

@@ -276,3 +276,23 @@ def test_a_run_at_an_interval_stops_when_idle(spark):
     assert [b[:2] for b in batches] == [(k, 10) for k in range(4)]
     assert all(a[3] <= b[2] + timedelta(milliseconds=1) for a, b in zip(batches, batches[1:], strict=False))
     assert spark.read.schema(SCHEMA).parquet(table).count() == 40
+
+
+# --- a whole landing zone ------------------------------------------------------------
+
+
+def test_one_query_loads_all_topics(spark, sf):
+    landed, zone, ckpt = paths(spark, "landed", "zone", "ckpt")
+    topics = ("orders", "billing", "delivery", "reviews")  # with columns of one name and different types
+    for run in range(3):
+        for topic in topics:
+            rows = bronze(spark, sf, topic)
+            part = F.pmod(F.xxhash64("event_time"), F.lit(2)) == run  # none in the last run
+            tables.land(rows.where(part), f"{landed}/{topic}")
+        query = st.load_zone(spark, landed, zone, ckpt, topics, maxFilesPerTrigger="2")
+        query.awaitTermination()
+        assert (sum(p.numInputRows for p in query.recentProgress) > 0) == (run < 2)
+    for topic in topics:
+        assert equal(st.read_zone(spark, zone, topic), bronze(spark, sf, topic)), topic
+    text = st.read_zone(spark, zone, "orders").select("status")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<orders:struct<status:string>>" in text and "table#" in text
