@@ -1,7 +1,8 @@
-"""Token ids by a byte-level BPE of the tokenizers library, with a bounded cache in each worker.
+"""Token ids by a byte-level BPE of the tokenizers library, for blocks of texts at once.
 
 The pre-tokeniser's pattern starts a pre-token wherever white space follows something else, so the
-units between such places are encoded independently of each other.
+units between such places are encoded independently of each other. The units of a block are told apart
+by Arrow, and each different one is encoded once. Nothing is remembered from one block to the next.
 """
 
 from __future__ import annotations
@@ -9,17 +10,23 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
-from courierlake.llm.metaspace import STRETCH, Cache
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHE_UNITS = 300_000
+from courierlake.llm.metaspace import STRETCH
+
+#: Characters that are worked on at once.
+BLOCK = 1 << 23
 
 # The characters of the Unicode property White_Space.
 _WHITE = r" \t-\r\x85\xa0  -     　"
 _UNIT = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
-_UNUSUAL = re.compile(f"(?![ \\n])[{_WHITE}]")
+#: Control characters, of which one that no text of a block holds parts its units.
+_PARTS = [chr(c) for c in (0, 1, 2, 3, 4, 5, 6, 7, 8, 14, 15, 16)]
 _BORDER = re.compile(f"(?<=[^{_WHITE}]) (?=[^{_WHITE}])")
 
 
@@ -41,11 +48,6 @@ def _byte_names() -> dict[int, str]:
 _NAMES = _byte_names()
 
 
-@lru_cache(maxsize=4)
-def _caches(path: str) -> tuple[Cache, Cache]:
-    return Cache(CACHE_UNITS), Cache(CACHE_UNITS)
-
-
 def _stretches(text: str) -> Iterator[str]:
     start = 0
     while len(text) - start > STRETCH and (cut := _BORDER.search(text, start + STRETCH)):
@@ -54,50 +56,114 @@ def _stretches(text: str) -> Iterator[str]:
     yield text[start:]
 
 
-def id_bytes(path: str):
-    """A function from text to its ids as little-endian unsigned 32-bit numbers."""
-    encode, model = tokenizer(path).encode_batch_fast, tokenizer(path).model
-    spaced, exact = _caches(path)
-    ends = {c: array("I", tokenizer(path).encode(c, add_special_tokens=False).ids) for c in ",."}
-
-    def word(key: str) -> bytes | None:
-        """Ids of a space and a word, with a comma or full stop, which pre-tokenising cuts off."""
-        end = ends.get(key[-1])
-        stem = key if end is None else key[:-1]
+def _units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Where the units of each text start among all of them, each one's number, and the different units."""
+    part = next((c for c in _PARTS if not any(c in t for t in texts)), None)
+    if part is None:
+        found = pa.array([_UNIT.findall(t) for t in texts], pa.list_(pa.string()))
+    else:
+        marked = pc.replace_substring_regex(
+            pa.array(texts, pa.string()), pattern=f"([{_WHITE}]+)", replacement=part + r"\1"
+        )
+        found = pc.split_pattern(marked, part)
+    numbered = found.values.dictionary_encode()
+    return found.offsets.to_numpy(), numbered.indices.to_numpy(), numbered.dictionary.to_pylist()
+
+
+class _Encoder:
+    """Ids of single units."""
+
+    def __init__(self, path: str):
+        self.library = tokenizer(path)
+        self.tokenize = self.library.model.tokenize
+        # Pre-tokenising cuts these off a word.
+        self.ends = {c: self.library.encode(c, add_special_tokens=False).ids for c in ",."}
+
+    def word(self, unit: str) -> list[int] | None:
+        """Ids of a space and a word, with a comma or full stop, by the model alone; None for other units."""
+        end = self.ends.get(unit[-1:])
+        stem = unit[1:] if end is None else unit[1:-1]
         # Letters below U+0250 are letters in all versions of Unicode.
-        if not stem.isalpha() or max(stem) >= "\u0250":
+        if unit[:1] != " " or not stem.isalpha():
             return None
         if not stem.isascii():
+            if max(stem) >= "\u0250":
+                return None
             stem = stem.encode().decode("latin-1").translate(_NAMES)
-        ids = array("I", [t.id for t in model.tokenize(_NAMES[0x20] + stem)])
-        return (ids if end is None else ids + end).tobytes()
-
-    def known(cache: Cache, keys: list[str], prefix: str) -> bytes:
-        lost = cache.missing(keys)
-        if lost and prefix:
-            cache.update((k, found) for k in lost if (found := word(k)) is not None)
-            lost = [k for k in lost if k not in cache]
-        if lost:
-            units = [k if k[0] == "\n" else prefix + k for k in lost]
-            for key, found in zip(lost, encode(units, add_special_tokens=False), strict=True):
-                cache[key] = array("I", found.ids).tobytes()
-        found = b"".join(map(cache.__getitem__, keys))
-        cache.trim()
-        return found
-
-    def ids(text: str) -> bytes:
-        out = []
-        for part in _stretches(text):
-            found = part.replace("\n", " \n").split(" ")
-            # The usual case: single spaces and line feeds between words. A key of ``spaced`` is
-            # a word that a space precedes, or one that starts with its line feed.
-            head = [] if part[:1] in (" ", "\n") else found[:1]
-            rest = found[1:]
-            if "" in rest or "\n" in rest or _UNUSUAL.search(part):
-                out.append(known(exact, _UNIT.findall(part), ""))
-            else:
-                out.append(known(exact, head, "") if head != [""] else b"")
-                out.append(known(spaced, rest, " "))
-        return b"".join(out)
-
-    return ids
+        ids = [t.id for t in self.tokenize(_NAMES[0x20] + stem)]
+        return ids if end is None else ids + end
+
+    def __call__(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, and where those of each unit start among them and how many they are."""
+        flat, lengths, done, others = array("I"), array("I"), array("I"), array("I")
+        for k, unit in enumerate(units):
+            ids = self.word(unit) if unit else []
+            if ids is None:
+                others.append(k)
+                continue
+            done.append(k)
+            flat.extend(ids)
+            lengths.append(len(ids))
+        for e in self.library.encode_batch_fast([units[k] for k in others], add_special_tokens=False):
+            flat.extend(e.ids)
+            lengths.append(len(e.ids))
+        order = np.array(done + others, np.int64)
+        size, first = np.empty(len(units), np.int32), np.empty(len(units), np.int32)
+        size[order] = lengths
+        first[order] = np.cumsum(lengths, dtype=np.int64) - lengths
+        return np.array(flat, np.uint32), first, size
+
+
+@lru_cache(maxsize=4)
+def _encoder(path: str) -> _Encoder:
+    return _Encoder(path)
+
+
+def _block_ids(path: str, texts: list[str]) -> list[np.ndarray]:
+    starts, number, units = _units(texts)
+    flat, first, size = _encoder(path)(units)
+    of_unit = size[number]
+    ends = np.cumsum(of_unit, dtype=np.int32)
+    # The place in ``flat`` of every id: its unit's first one, and so many further as it is in its unit.
+    at = np.repeat(first[number] - (ends - of_unit), of_unit)
+    at += np.arange(len(at), dtype=np.int32)
+    bounds = np.concatenate([[0], ends])[starts]
+    return np.split(flat[at], bounds[1:-1])
+
+
+def _blocks(texts: Iterable[str], size: int) -> Iterator[list[str]]:
+    held, n = [], 0
+    for text in texts:
+        held.append(text)
+        n += len(text)
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def token_ids(path: str, texts: Iterable[str]) -> Iterator[np.ndarray]:
+    """The ids of each text, as unsigned 32-bit numbers."""
+
+    def whole(text: str) -> np.ndarray:
+        blocks = _blocks(_stretches(text), BLOCK)
+        return np.concatenate([ids for block in blocks for ids in _block_ids(path, block)])
+
+    held, n = [], 0
+    for text in texts:
+        if len(text) > STRETCH or n >= BLOCK:
+            yield from _block_ids(path, held) if held else ()
+            held, n = [], 0
+        if len(text) > STRETCH:
+            yield whole(text)
+        else:
+            held.append(text)
+            n += len(text)
+    if held:
+        yield from _block_ids(path, held)
+
+
+def id_bytes(path: str):
+    """A function from a text to its ids as little-endian unsigned 32-bit numbers."""
+    return lambda text: next(token_ids(path, [text])).astype("<u4").tobytes()

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from courierlake.llm.byte_bpe import id_bytes
+from courierlake.llm.byte_bpe import token_ids
 from courierlake.llm.common import stored, whole_text
 
 SEQUENCE = 2048
@@ -47,20 +47,20 @@ def pieces(
     docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
     """The pieces of all documents; only the first piece of a document may be shorter."""
-    end = int(END_ID).to_bytes(4, "little")
+    end = np.array([END_ID], dtype="<u4")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, task = id_bytes(tokenizer), TaskContext.get().partitionId()
+        task = TaskContext.get().partitionId()
         made = np.zeros(sequence + 1, dtype=np.int64)
         for batch in batches:
             rows = []
-            for key, value in zip(batch["doc_id"], batch["text"], strict=True):
-                data = ids(value) + end
-                n = len(data) // 4
+            for key, ids in zip(batch["doc_id"], token_ids(tokenizer, batch["text"]), strict=True):
+                data = np.append(ids.astype("<u4"), end)
+                n = len(data)
                 start, stop = 0, n % sequence or sequence
                 piece = 0
                 while start < n:
-                    crc = zlib.crc32(data[4 * start : 4 * stop])
+                    crc = zlib.crc32(data[start:stop])
                     rows.append((key, piece, start, stop - start, crc, task, made[stop - start]))
                     made[stop - start] += 1
                     piece, start, stop = piece + 1, stop, stop + sequence
@@ -205,7 +205,8 @@ def pack(
             out["offset"] = table["offset"].to_numpy()[k] + of // times * length
             yield out.astype({"doc_id": "Int64"})
 
-    return cut.join(starts, ["task", "length"]).mapInPandas(
+    # ``starts`` grows with the tasks, so it is not to be broadcast.
+    return cut.join(starts.hint("merge"), ["task", "length"]).mapInPandas(
         place,
         "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
     )
