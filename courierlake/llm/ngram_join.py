@@ -457,27 +457,35 @@ def ngram_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
 def keep_one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row of each component, with all its columns: the one with the smallest id.
 
-    If that id has several texts in the component, the one with the smallest SHA-256 stays. Rows that
-    repeat id and text stay once; rows without shingles or without an id all stay.
+    If that id has several texts in the component, the one with the smallest SHA-256 stays. A component
+    of rows without an id keeps the one with the smallest SHA-256, and rows without an id leave for those
+    that have one. Rows that repeat id and text stay once; rows without shingles all stay, of those
+    without an id every copy.
     """
 
     def sha(of: Column) -> Column:
         return F.sha2(whole_text(of), 256)
 
-    found = _with_components(docs, text, doc_id, sha(F.col(text))).where("doc_id = component_id")
-    ids = (
+    def keyed(rows: DataFrame, number: Column, digest: Column) -> DataFrame:
+        none, some = number.isNull().alias("__none"), F.coalesce(number, F.lit(0)).alias("__of")
+        return rows.select("*", none, some, digest.alias("__sha"))
+
+    keys = ["__none", "__of", "__sha"]
+    found = _with_components(docs, text, doc_id, sha(F.col(text))).where("doc_id <=> component_id")
+    stays = (
         found.where("root is not null")
         .groupBy("root")
-        .agg(F.first("doc_id").alias("__of"), F.min("carried").alias("__sha"))
-        .select("__of", "__sha")
-        .unionByName(found.where("root is null").select(F.col("doc_id").alias("__of"), F.col("carried").alias("__sha")))
+        .agg(F.first("doc_id").alias("doc_id"), F.min("carried").alias("carried"))
+        .select("doc_id", "carried")
+        .unionByName(found.where("root is null and doc_id is not null").select("doc_id", "carried"))
     )
-    rows = docs.select(F.struct("*").alias("__row"), F.col(doc_id).cast("long").alias("__of"))
-    once = (
-        rows.where("__of is not null")
-        .withColumn("__sha", sha(F.col(f"__row.{text}")))
-        .groupBy("__of", "__sha", F.col(f"__row.{text}").isNull().alias("__none"))
-        .agg(F.first("__row").alias("__row"))
+    ids = keyed(stays, F.col("doc_id"), F.col("carried")).select(*keys)
+    unknown = found.where("root is null and doc_id is null").select(F.col("carried").alias("__sha")).distinct()
+    given = docs.select(F.struct("*").alias("__row"), F.col(doc_id).cast("long").alias("__id"))
+    rows = keyed(given, F.col("__id"), sha(F.col(f"__row.{text}")))
+    once = rows.groupBy(*keys, F.col(f"__row.{text}").isNull().alias("__empty")).agg(
+        F.first("__row").alias("__row")
     )
-    kept = once.join(ids, ["__of", "__sha"], "left_semi")
-    return kept.select("__row.*").unionByName(rows.where("__of is null").select("__row.*"))
+    kept = once.join(ids, keys, "left_semi")
+    alone = rows.where("__none").join(unknown, "__sha", "left_semi")
+    return kept.select("__row.*").unionByName(alone.select("__row.*"))

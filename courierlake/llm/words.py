@@ -1,7 +1,8 @@
 """Words, and hashes of runs of words, for whole batches of texts in numpy.
 
 A word is a maximal run of bytes outside ``[\\x20\\x09-\\x0D]``, with A-Z in lower case. Hashes have
-64 bits and depend on the words only, so all tasks agree on them.
+64 bits and depend on the words only, so all tasks agree on them. Those of short words are polynomials
+modulo 2**64, which repeat for long words of a certain make (Thue-Morse); longer words have BLAKE2b hashes.
 """
 
 from __future__ import annotations
@@ -9,11 +10,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 
 #: Texts are hashed in chunks of about so many bytes; longer texts are cut between words.
 CHUNK_BYTES = 1 << 20
+#: Bytes of a word whose hash is a polynomial, at most.
+SHORT = 32
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BLANK = re.compile(rb"[ \t-\r]")
@@ -44,7 +48,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of a chunk, and where they start."""
-    raw = np.frombuffer(data.translate(_LOWER), dtype=np.uint8)
+    lowered = data.translate(_LOWER)
+    raw = np.frombuffer(lowered, dtype=np.uint8)
     if not len(raw):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     solid = _SOLID[raw]
@@ -55,7 +60,11 @@ def _hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     up, down = _powers(max(size, 2 * CHUNK_BYTES))
     total = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_BYTES[raw] * up[: len(raw)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts], 1), starts
+    hashes = mix((total[ends] - total[starts]) * down[starts], 1)
+    for k in np.flatnonzero(ends - starts > SHORT).tolist():
+        word = lowered[starts[k] : ends[k]]
+        hashes[k] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+    return hashes, starts
 
 
 def word_hashes(texts: Iterable[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from courierlake.llm import components as graph
-from courierlake.llm import exact_dedup, ngram_join, seed_chains, suffix_dedup
+from courierlake.llm import exact_dedup, ngram_join, seed_chains, suffix_dedup, words
 from courierlake.llm.common import clear_stored, stored
 
 LONG = "word " * 60_000
@@ -200,7 +200,39 @@ def test_one_of_each_component_stays(documents):
     kept = ngram_join.keep_one_of_each(df)
     assert kept.columns == df.columns
     got = sorted((r.doc_id or 0, r.text) for r in kept.collect())
-    assert got == [(0, text), (2, text + " end"), (9, "other"), (10, None)]
+    assert got == [(2, text + " end"), (9, "other"), (10, None)]  # a row without an id is a copy like others
+
+
+def test_rows_without_an_id_are_near_copies_too(documents):
+    text, other, third = (" ".join(f"{c}{k}" for k in range(40)) for c in "abc")
+    rows = [(None, text), (None, text), (None, text + " end"), (4, other), (None, other + " end"), (None, third)]
+    rows += [(None, ""), (None, None), (None, ""), (8, ""), (None, "one"), (None, "one")]
+    kept = ngram_join.keep_one_of_each(documents(rows).repartition(3)).collect()
+    first = min(text, text + " end", key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    want = [(0, first), (4, other), (0, third), (0, "one"), (0, ""), (0, ""), (0, ""), (8, "")]
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted(want)
+
+
+def thue_morse(n, turned=0):
+    return "".join("ab"[(bin(k).count("1") + turned) % 2] for k in range(n))
+
+
+@pytest.mark.parametrize("n", [8, 16, 32, 64, 256, 1024, 4096])
+def test_words_that_polynomials_confuse(documents, n):
+    a, b = thue_morse(n), thue_morse(n, 1)
+    rows = [(1, f"{a} one two three four"), (2, f"{b} one two three four"), (3, f"{a.upper()} One two three FOUR")]
+    assert {tuple(r) for r in ngram_join.ngram_components(documents(rows)).collect()} == near_brute(rows)
+
+
+def test_long_words_across_blocks(documents, monkeypatch):
+    """Words and texts longer than the blocks that are hashed at once."""
+    monkeypatch.setattr(words, "CHUNK_BYTES", 64)
+    tail = " ".join(f"w{k}" for k in range(200))
+    rows = [(1, "x" * 500 + " " + tail), (2, "X" * 500 + "\n" + tail), (3, "x" * 501 + " " + tail), (4, "y" * 70)]
+    rows += [(5, ("é" * 40 + " ") * 9), (6, ("é" * 40 + "\t") * 9 + "z")]
+    assert {(i, len(s)) for (i, _), s in zip(rows, words.shingle_sets([t for _, t in rows], 5), strict=True)} == {
+        (i, n) for i, n, _ in near_brute(rows)
+    }
 
 
 def test_one_of_each_component_stays_with_repeated_ids(documents):
