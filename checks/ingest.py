@@ -180,6 +180,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         spark.sql(f"SELECT '{v}' AS table_name, count(*) AS rows, count({PRIMARY_KEYS[t]}) AS keyed FROM {v}")
         for t, v in views.items()
     ]
+    for view in views.values():
+        spark.catalog.dropTempView(view)  # the plans above hold what they refer to
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -68,7 +68,7 @@ class Pipeline:
         self._shared: set[str] = set()
 
     def share(self, *models: str) -> Pipeline:
-        """Build these models in one run: a silver table that several of them read is stored."""
+        """Build these models in one run: a silver table, or the star, that several of them read is stored."""
         self._shared |= shared_nodes(*models)
         return self
 
@@ -138,13 +138,14 @@ class Pipeline:
     @cached_property
     def star_orders(self) -> DataFrame:
         self._store_dimensions()
-        return marts.star_orders(
+        star = marts.star_orders(
             gold.fct_orders(self.silver("orders"), with_id=True),
             gold.fct_payments(self.silver("payments"), with_id=True),
             self.stored_customers,
             self.stored_restaurants,
             key="order_id",
         )
+        return materialize(star, "star_orders") if "star_orders" in self._shared else star
 
     @cached_property
     def mart_revenue(self) -> DataFrame:

@@ -118,3 +118,11 @@ def test_billing_is_cleaned_once_for_the_subscription_mart(spark, sf):
     assert shared_nodes("mart_revenue", "revenue_growth_by_day") == {"star_orders"}
     text = plan(pipeline(spark, sf).mart_subscription)
     assert "silver_billing" in text and "Window" not in text
+
+
+def test_the_star_is_built_once_for_both_marts(spark, sf):
+    p = pipeline(spark, sf).share("mart_revenue", "revenue_growth_by_day")
+    assert "star_orders" in plan(p.revenue_growth_by_day)
+    alone = pipeline(spark, sf)
+    want, got = (x.revenue_growth_by_day.select("order_date", "gross_revenue_usd") for x in (alone, p))
+    assert want.exceptAll(got).count() == got.exceptAll(want).count() == 0
