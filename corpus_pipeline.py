@@ -18,27 +18,46 @@ from courierlake.llm.secret_scan import mask_secrets
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is not predicted to be bad."""
+    """Documents whose text is not predicted to be bad.
+
+    Null text is judged as empty text; rows that repeat a text share its fate; labels of ids that are not
+    there, and null labels, teach nothing; without labels of both kinds every score is the share of good ones,
+    0.5 without any.
+    """
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts: the longest original, then the smallest id, null last.
+
+    Null and empty texts are one group; of rows that repeat id and text one stays.
+    """
     return keep_distinct(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shared shingles link."""
+    """One document of each group that shared shingles link: the smallest id, null last, then the smallest
+    SHA-256 of the text.
+
+    Null, empty and blank texts have no shingles and stay, as far as the stage before has left them.
+    """
     return keep_one_of_each(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts masked."""
+    """All documents, secrets in their texts masked and ``n_chars`` brought in line.
+
+    Rows without a secret, null texts included, stay exactly as they are, repeated ones too.
+    """
     return mask_secrets(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in training sequences."""
+    """The pieces of all documents with their places in training sequences.
+
+    Null and empty texts are one piece of the end id; repeated rows are packed once each; null ids pass
+    through. Without documents there is no piece.
+    """
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
