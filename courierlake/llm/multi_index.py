@@ -37,6 +37,8 @@ SAMPLE_QUERIES = 512
 TARGET = 0.96
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 2_048
+#: Queries whose cells one task visits, about. They are few bytes and much work, so they are dealt by number.
+VISITS = 128
 STEPS = 12
 QUERY_EVERY = 20
 
@@ -185,7 +187,8 @@ def search(
         index.counts[r.cell] = r["count"]
     index.first_block, index.n_blocks = _deal(index.counts)
     asked = entries.where(queries).dropDuplicates(["vec_id", "vector"])
-    salts = max(1, -(-asked.count() // QUERY_ROWS))
+    n_asked = asked.count()
+    salts = max(1, -(-n_asked // QUERY_ROWS))
     need = index.share * index.counts.sum()
     shared = spark.sparkContext.broadcast(index)
 
@@ -215,6 +218,7 @@ def search(
     salt = F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(salts))
     routed = (
         asked.select("vec_id", "vector")
+        .repartition(max(1, -(-n_asked // VISITS)), "vec_id", "vector")
         .mapInPandas(route, "vec_id long, vector array<double>, visited binary, block array<long>")
         .select("vec_id", "vector", "visited", F.explode("block").alias("block"), salt.alias("salt"))
     )
