@@ -398,9 +398,8 @@ def test_chains_keep_both_passages_around_a_gap(documents):
         assert places <= covered[i]
 
 
-def test_chains_find_passages_of_frequent_lines(documents, monkeypatch):
-    """Two texts share lines in a row, each of which many others hold alone; small cells are salted."""
-    monkeypatch.setattr(seed_chains, "CELL", 10)
+def test_chains_find_passages_of_frequent_lines(documents):
+    """Two texts share lines in a row, each of which many others hold alone."""
     rnd = random.Random(11)
     words = [f"w{k}" for k in range(50_000)]
 
@@ -425,6 +424,44 @@ def test_chains_find_passages_of_frequent_lines(documents, monkeypatch):
         assert len(mine) >= 55 and len(set(mine) & set(theirs)) >= 54
 
 
+def test_chains_find_exact_passages_among_frequent_lines(documents):
+    """50 to 60 words in a row that two texts share, made of lines that many others hold in other orders."""
+    rnd = random.Random(13)
+    words = [f"w{k}" for k in range(50_000)]
+    lines = [[rnd.choice(words) for _ in range(rnd.randint(12, 30))] for _ in range(30)]
+    rows, planted = [], set()
+    for _ in range(300):
+        text = []
+        for _ in range(rnd.randint(2, 5)):
+            text += [rnd.choice(words) for _ in range(rnd.randint(10, 40))] + rnd.choice(lines)
+        rows.append((len(rows), " ".join(text)))
+    for size in range(50, 61):
+        passage = [w for line in rnd.sample(lines, 6) for w in line][:size]
+        for _ in range(2):
+            planted.add(len(rows))
+            around = [[rnd.choice(words) for _ in range(rnd.randint(0, 60))] for _ in range(2)]
+            rows.append((len(rows), " ".join(around[0] + passage + around[1])))
+    found = seed_chains.passages(documents(rows).repartition(3)).collect()
+    assert planted <= {r.doc_id for r in found} | {r.other_id for r in found}
+
+
+def test_recall_of_changed_passages(documents):
+    """Passages with one word in so many changed at random places, each in two texts: what is found is stated."""
+    rnd = random.Random(17)
+    words = [f"w{k}" for k in range(50_000)]
+    rows, pairs = [], defaultdict(list)
+    for apart in (30, 20, 15):
+        for _ in range(40):
+            passage = [rnd.choice(words) for _ in range(150)]
+            changed = [w if rnd.random() > 1 / apart else rnd.choice(words) for w in passage]
+            pairs[apart].append((len(rows), len(rows) + 1))
+            for text in (passage, changed):
+                rows.append((len(rows), " ".join([rnd.choice(words) for _ in range(50)] + text)))
+    found = {(r.doc_id, r.other_id) for r in seed_chains.passages(documents(rows)).collect()}
+    recall = {k: sum((a, b) in found or (b, a) in found for a, b in v) / len(v) for k, v in pairs.items()}
+    assert recall[30] >= 0.95 and recall[20] >= 0.9 and recall[15] >= 0.8, recall
+
+
 def test_chain_prefers_collinear_matches():
     a, b = np.array([0, 20, 25, 40, 60]), np.array([100, 120, 10, 140, 160])
     assert seed_chains.chains(a, b)[0] == [0, 1, 3, 4]
