@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from courierlake.llm.common import stored, table
+from courierlake.llm.common import clear_stored, stored, stored_so_far, table
 from courierlake.llm.exact_dedup import keep_distinct
 from courierlake.llm.ngram_join import keep_one_of_each
 from courierlake.llm.packing import pack
@@ -74,8 +74,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages from ``documents`` on; each result is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages from ``documents`` on; each result is written and read again.
+
+    When a stage is written, what it has read and what it stored on the way is deleted.
+    """
+    docs, mark = table(spark, sf_dir, "documents"), stored_so_far()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        clear_stored(spark, since=mark, keep_last=True)
     return docs

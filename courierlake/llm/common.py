@@ -54,16 +54,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def clear_stored(spark: SparkSession) -> None:
-    """Delete all that ``stored`` wrote in this process.
+def stored_so_far() -> int:
+    """A mark for ``clear_stored``."""
+    return len(_made)
+
+
+def clear_stored(spark: SparkSession, since: int = 0, keep_last: bool = False) -> None:
+    """Delete what ``stored`` wrote in this process since a mark, the last result excepted if asked.
 
     Call it when a run's results are written: frames that were built before read it.
     """
     conf, fs = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs
-    for made in _made:
+    end = len(_made) - keep_last
+    for made in _made[since:end]:
         path = fs.Path(made)
         path.getFileSystem(conf).delete(path, True)
-    _made.clear()
+    del _made[since:end]
 
 
 def whole_text(text: Column) -> Column:

@@ -13,6 +13,7 @@ from test_text_operators import check_packing
 
 from checks.compare import compare, duck
 from courierlake.llm import multi_index
+from courierlake.llm.common import clear_stored, stored_so_far
 from courierlake.llm.queries import ORACLES, QUERIES
 
 KIND = "vec_id long, embedding array<float>"
@@ -107,7 +108,7 @@ def test_query_equals_oracle(spark, sf, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_pipeline_stages(spark, sf):
@@ -138,6 +139,15 @@ def test_pipeline_stages(spark, sf):
         d.unpersist()
 
 
+def test_a_run_leaves_its_result_only(spark, sf):
+    before = stored_so_far()
+    pieces = corpus_pipeline.run(spark, sf)
+    assert stored_so_far() == before + 1
+    assert pieces.count() >= pieces.select("doc_id").distinct().count() > 0
+    clear_stored(spark, since=before)
+    assert stored_so_far() == before
+
+
 def test_pipeline_of_no_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
