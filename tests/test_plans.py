@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from checks.bronze import AS_OF
@@ -86,14 +87,29 @@ def test_stored_silver_is_read_by_column(spark, sf):
     assert "Window" not in text
 
 
+@pytest.fixture
+def stages(monkeypatch):
+    """The plans of what is written as Parquet meanwhile."""
+    seen, write = [], DataFrameWriter.parquet
+
+    def spy(writer, *args, **options):
+        seen.append(plan(writer._df))
+        return write(writer, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    return seen
+
+
 @pytest.mark.parametrize(
     "name", [n for n in QUERIES if n.startswith(("mart_", "window_", "eda_", "agg_", "sort_", "stream_", "sink_"))]
 )
-def test_last_step_has_no_cross_join_and_no_python(spark, sf, name):
-    """The last step only: what it reads has been stored by steps before."""
-    text = plan(QUERIES[name](spark, sf))
-    for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
-        assert banned not in text, banned
+def test_no_stage_has_a_cross_join_or_python(spark, sf, name, stages):
+    """The query's plan, and those of all results that are stored on the way to it."""
+    for text in [plan(QUERIES[name](spark, sf)), *stages]:
+        for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
+            assert banned not in text, banned
+    if name.startswith(("mart_", "window_lag", "eda_pareto")):
+        assert stages
 
 
 def test_lag_stores_one_layout_and_broadcasts_nothing_of_the_rows(spark, monkeypatch):
