@@ -418,7 +418,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         for part in parts:
             tables.land(part.coalesce(1), landed)
         stream = st.landed_rows(spark, landed, EVENT_SCHEMA, maxFilesPerTrigger="1")
-        latest.start_latest(stream, LATEST_KEYS, "event_id", log, ckpt).awaitTermination()
+        latest.start_latest(
+            stream, LATEST_KEYS, "event_id", log, ckpt, every="1 second", slack="0 seconds"
+        ).awaitTermination()
         table_now = latest.write_snapshot(spark, log, ckpt, LATEST_KEYS, "event_id", root, EVENT_SCHEMA)
     return table_now
 

@@ -2,8 +2,10 @@
 
 The stream folds the rows of each arrival window to the latest one of a key, in the state store. When
 the watermark, which follows the time of arrival, has passed a window, its rows are appended to a change
-log and leave the state. So the state holds one window, whatever the size of the table, and a row is never
-too late: rows with an old event time arrive in the window of today and compete by event time.
+log and leave the state. So the state holds the windows of the last minutes, whatever the size of the table,
+and a row is never too late: rows with an old event time arrive in the window of now and compete by event
+time. Only a clock that goes back by more than ``CLOCK_SLACK``, as after a restart on another machine, would
+make rows late.
 
 The table is the latest row per key of the change log and of the windows still open in the state store,
 which Spark reads as a table. A snapshot folds what has been logged since the one before into a new version.
@@ -24,10 +26,16 @@ from courierlake.streaming.topics import FLUSH_EVERY, _start
 ARRIVED = "_arrived"
 #: Start of the arrival window in seconds, by which the change log is partitioned.
 WINDOW = "arrival_window"
+#: How far the clock may go back between two micro-batches; windows stay open for so much longer.
+CLOCK_SLACK = "10 minutes"
 
 
 def latest_changes(
-    stream: DataFrame, keys: list[str] | str, by: str, every: str = FLUSH_EVERY
+    stream: DataFrame,
+    keys: list[str] | str,
+    by: str,
+    every: str = FLUSH_EVERY,
+    slack: str = CLOCK_SLACK,
 ) -> DataFrame:
     """The latest row of each key and arrival window, as ``keep_latest`` takes it."""
     keys = [keys] if isinstance(keys, str) else keys
@@ -35,7 +43,7 @@ def latest_changes(
     order = F.struct(F.col(by).isNull(), F.col(by), F.bitwise_not(row_hash(stream)))
     return (
         stream.select("*", F.current_timestamp().alias(ARRIVED))
-        .withWatermark(ARRIVED, "0 seconds")
+        .withWatermark(ARRIVED, slack)
         .groupBy(F.window(ARRIVED, every), *keys)
         .agg(F.max_by(F.struct(*stream.columns), order).alias("row"))
         .select("row.*", F.unix_seconds("window.start").alias(WINDOW))
@@ -50,9 +58,10 @@ def start_latest(
     checkpoint: str,
     drain: bool = True,
     every: str = FLUSH_EVERY,
+    slack: str = CLOCK_SLACK,
 ) -> StreamingQuery:
     """Append the changes of closed windows to a log, one folder for each window."""
-    changes = latest_changes(stream, keys, by, every)
+    changes = latest_changes(stream, keys, by, every, slack)
     writer = changes.writeStream.format("parquet").partitionBy(WINDOW).outputMode("append")
     return _start(writer.option("path", log).option("checkpointLocation", checkpoint), drain, every)
 

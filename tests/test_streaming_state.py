@@ -41,14 +41,16 @@ def land(spark, path, *batches):
 class Table:
     """A stream into a change log, and snapshots of the table it stands for."""
 
-    def __init__(self, spark, every="15 seconds"):
-        self.spark, self.every = spark, every
+    def __init__(self, spark, every="15 seconds", slack="0 seconds"):
+        self.spark, self.every, self.slack = spark, every, slack
         self.landed, self.log, self.ckpt, self.root = paths(spark, "landed", "log", "ckpt", "snap")
 
     def run(self, *batches):
         land(self.spark, self.landed, *batches)
         stream = st.landed_rows(self.spark, self.landed, SCHEMA, maxFilesPerTrigger="1")
-        query = latest.start_latest(stream, "id", "at", self.log, self.ckpt, every=self.every)
+        query = latest.start_latest(
+            stream, "id", "at", self.log, self.ckpt, every=self.every, slack=self.slack
+        )
         query.awaitTermination()
         return query
 
@@ -105,7 +107,7 @@ def test_snapshots_read_only_what_is_new(spark):
 
 def test_ties_as_in_the_batch_operator(spark):
     rows = [(i % 5, 7, f"v{i}") for i in range(50)]
-    t = Table(spark)
+    t = Table(spark, slack=latest.CLOCK_SLACK)
     t.run(rows[:20], rows[20:30], rows[30:])
     want = keep_latest(spark.createDataFrame(rows, SCHEMA), "id", "at").collect()
     assert t.snapshot() == {tuple(r) for r in want}
