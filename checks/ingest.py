@@ -378,8 +378,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """A loader at an interval takes a bounded number of rows at a time, one run after the other."""
     landed, bronze_path, ckpt = (scratch_path(spark, n) for n in ("landed", "bronze", "ckpt"))
-    files = 4
     tables.land(_events(spark, sf), landed, tables.FLUSH_ROWS)
+    files = st.files_per_run(spark, landed, least=4)
     rows = st.landed_rows(spark, landed, EVENT_SCHEMA, maxFilesPerTrigger=str(files))
     writer = rows.writeStream.format("parquet").option("path", bronze_path).option("checkpointLocation", ckpt)
     query = writer.trigger(processingTime="100 milliseconds").start()

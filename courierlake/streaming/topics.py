@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from courierlake.sources.events import from_messages
-from courierlake.session import exists
+from courierlake.session import exists, file_count
 from courierlake.sources.schemas import TOPICS, bronze_schema
 from courierlake.sources.tables import table_of_path
 
@@ -28,6 +28,8 @@ FILES_PER_TRIGGER = "1000"
 # Files older than the newest one by more than this are still picked up: backfills keep old times.
 MAX_FILE_AGE = "3650d"
 LOAD_EVERY = "10 minutes"
+# A backlog is taken in about so many runs, each of which has a cost of its own.
+RUNS = 16
 
 
 def read_topics(
@@ -62,6 +64,15 @@ def read_topics(
     return reader.schema(MESSAGE_SCHEMA).load(source).filter(F.col("topic").isin(*topics))
 
 
+def files_per_run(spark: SparkSession, path: str, least: int) -> int:
+    """How many of the files below a path one run takes: ``least`` or more, ``FILES_PER_TRIGGER`` at most.
+
+    With a fixed number the runs, and what each costs, grow with the backlog.
+    """
+    files = file_count(spark, path)
+    return min(int(FILES_PER_TRIGGER), max(least, -(-files // RUNS)))
+
+
 def _start(writer, drain: bool, every: str) -> StreamingQuery:
     """Drain what is there and stop, or keep running at an interval."""
     return (writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=every)).start()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.bronze import bronze
+from checks.queries import QUERIES
 from courierlake.operators.dedup import keep_latest
 from courierlake.session import scratch_path
 from courierlake.sources import events as ev
@@ -280,6 +281,30 @@ def test_a_run_at_an_interval_stops_when_idle(spark):
     assert spark.read.schema(SCHEMA).parquet(table).count() == 40
 
 
+def test_a_larger_backlog_takes_larger_runs(spark):
+    (landed,) = paths(spark, "landed")
+    spark.range(1000).repartition(100).write.parquet(landed)
+    assert st.files_per_run(spark, landed, least=4) == -(-101 // st.RUNS)  # the job's marker is a file too
+    assert st.files_per_run(spark, landed, least=9) == 9
+    spark.range(400).write.option("maxRecordsPerFile", 1).mode("append").parquet(landed)
+    assert st.files_per_run(spark, landed, least=4) == -(-501 // st.RUNS)
+    assert st.files_per_run(spark, landed, least=2000) == int(st.FILES_PER_TRIGGER)
+
+
+def test_interval_runs_do_not_grow_with_the_backlog(spark, tmp_path):
+    events = spark.range(300).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01' AS ts", "id AS user_id", "'a' AS event_type", "0.5D AS value", "'{}' AS props"
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    seen = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tables, "FLUSH_ROWS", 2)  # some 150 files
+        patch.setattr(runs, "run_until_idle", lambda *a, f=runs.run_until_idle, **b: seen.extend(f(*a, **b)) or seen)
+        got = QUERIES["stream_interval_runs"](spark, str(tmp_path)).first()
+    assert got.asDict() == {"rows": 300, "bounded": True, "overlaps": 0, "loaded": 300}
+    assert 1 < len(seen) <= st.RUNS + 1
+
+
 # --- a whole landing zone ------------------------------------------------------------
 
 
