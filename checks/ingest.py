@@ -158,8 +158,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "landed")
-    for topic in TOPICS:
-        tables.land(bronze(spark, sf, topic), f"{root}/{topic}")
+    tables.land_all({topic: bronze(spark, sf, topic) for topic in TOPICS}, root)
     landed = {topic: tables.read_landed(spark, root, topic) for topic in TOPICS}
     parts = [
         rows.select(
@@ -588,8 +587,7 @@ def _audited(spark: SparkSession, messages: DataFrame, keep: Column | None = Non
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "landed")
-    for topic in TOPICS:
-        tables.land(bronze(spark, sf, topic), f"{root}/{topic}", tables.FLUSH_ROWS)
+    tables.land_all({topic: bronze(spark, sf, topic) for topic in TOPICS}, root, tables.FLUSH_ROWS)
     counted = tables.rows_by_table(spark, root)
     return counted.select(
         "table", "rows", (F.col("largest_file") <= tables.FLUSH_ROWS).alias("within_limit")

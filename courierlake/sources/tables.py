@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,15 +40,19 @@ def read_landed(spark: SparkSession, root: str, topic: str) -> DataFrame:
     return rows.withColumn("table", table_of_path(root, F.col("_metadata.file_path")))
 
 
-def route_landed(spark: SparkSession, root: str) -> DataFrame:
-    """A row for each landed row below a root: its file and the table it belongs to.
+def landed_files(spark: SparkSession, root: str) -> DataFrame:
+    """A row for each landed row below a root: its file.
 
     Tables differ in their columns, so none is read here; see ``read_landed``.
     """
     files = spark.read.schema("_none string").option("recursiveFileLookup", True)
-    path = F.col("_metadata.file_path")
     rows = files.option("pathGlobFilter", "*.parquet").parquet(root)
-    return rows.select(table_of_path(root, path).alias("table"), path.alias("file"))
+    return rows.select(F.col("_metadata.file_path").alias("file"))
+
+
+def route_landed(spark: SparkSession, root: str) -> DataFrame:
+    """A row for each landed row below a root: its file and the table it belongs to."""
+    return landed_files(spark, root).select(table_of_path(root, F.col("file")).alias("table"), "file")
 
 
 def land(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
@@ -62,6 +67,14 @@ def land(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
     writer.parquet(path)
 
 
+def land_all(tables: dict[str, DataFrame], root: str, rows_per_file: int | None = None) -> None:
+    """Land each table in its folder below a root, all at once: a small one does not hold up the rest."""
+    with ThreadPoolExecutor(max(1, len(tables))) as pool:
+        done = [pool.submit(land, df, f"{root}/{name}", rows_per_file) for name, df in tables.items()]
+    for landing in done:
+        landing.result()  # raises what the landing has failed with
+
+
 def compact(spark: SparkSession, path: str, target: str) -> DataFrame:
     """Rewrite many small files as few of Spark's advisory partition size."""
     rows = spark.read.option("recursiveFileLookup", True).parquet(path)
@@ -95,7 +108,8 @@ def overwrite_table(
 
 def rows_by_table(spark: SparkSession, root: str) -> DataFrame:
     """Audit: how many rows, in how many files, each table has below a root."""
-    per_file = route_landed(spark, root).groupBy("table", "file").agg(F.count("*").alias("rows"))
-    return per_file.groupBy("table").agg(
+    # The table is told once for each file, not for each of its rows.
+    per_file = landed_files(spark, root).groupBy("file").agg(F.count("*").alias("rows"))
+    return per_file.groupBy(table_of_path(root, F.col("file")).alias("table")).agg(
         F.sum("rows").alias("rows"), F.count("*").alias("files"), F.max("rows").alias("largest_file")
     )

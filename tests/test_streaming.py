@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from datetime import date
 
 import pytest
@@ -104,6 +105,26 @@ def test_landed_files_respect_the_row_limit(spark, sf):
     assert all(r.largest_file <= tables.FLUSH_ROWS for r in audit.values())
 
 
+def test_tables_land_at_once_and_are_told_by_file(spark):
+    root = scratch_path(spark, "zone")
+    meet = threading.Barrier(3, timeout=60)
+    land = tables.land
+
+    def both(df, path, rows_per_file):
+        meet.wait()  # breaks if a table waits for another one
+        land(df, path, rows_per_file)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tables, "land", both)
+        tables.land_all({f"t{k}": spark.range(10 * k) for k in range(1, 4)}, root, 4)
+    audit = tables.rows_by_table(spark, root)
+    assert {r.table: (r.rows, r.largest_file <= 4) for r in audit.collect()} == {f"T{k}": (10 * k, True) for k in range(1, 4)}
+    plan = audit._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring_index" in plan and "substring_index" not in plan[plan.rindex("Project ") :]  # once for each file
+    with pytest.raises(Exception, match="broken"):
+        tables.land_all({"t1": spark.range(1).selectExpr("raise_error('broken') AS x")}, root)
+
+
 def test_compaction_keeps_rows_and_drops_files(spark, sf):
     small, big = scratch_path(spark, "small"), scratch_path(spark, "big")
     reviews = bronze(spark, sf, "reviews")
