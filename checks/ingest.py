@@ -574,7 +574,9 @@ def _audited(spark: SparkSession, messages: DataFrame, keep: Column | None = Non
     """Received against landed, as the stream that lands the messages has observed it."""
     log, path, ckpt = (scratch_path(spark, n) for n in ("messages", "landed", "ckpt"))
     ev.publish(messages, log, fmt="parquet")
-    stream = st.read_topics(spark, log, fmt="parquet", maxFilesPerTrigger="5")
+    # Five files at a time leave most cores without any; a run has one for each at least.
+    files = st.files_per_run(spark, log, max(5, spark.sparkContext.defaultParallelism))
+    stream = st.read_topics(spark, log, fmt="parquet", maxFilesPerTrigger=str(files))
     query = metrics.land_audited(stream, path, ckpt, TOPICS, keep)
     return metrics.received_and_landed(spark, metrics.observed_batches(query), TOPICS)
 
