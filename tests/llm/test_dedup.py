@@ -445,6 +445,67 @@ def test_chains_find_exact_passages_among_frequent_lines(documents):
     assert planted <= {r.doc_id for r in found} | {r.other_id for r in found}
 
 
+def changed_apart(rnd, words, passage):
+    """The passage with a word changed, left out or put in after every three to eight."""
+    out, left = [], rnd.randint(3, 8)
+    for w in passage:
+        left -= 1
+        if left:
+            out.append(w)
+        else:
+            out += rnd.choice([[rnd.choice(words)], [], [w, rnd.choice(words)]])
+            left = rnd.randint(4, 8)
+    return out
+
+
+def test_chains_find_changed_passages_around_a_frequent_line(documents):
+    """Each pair has nothing but a line of many others equal for ten words, and is alike around it."""
+    rnd = random.Random(19)
+    words = [f"w{k}" for k in range(50_000)]
+
+    def prose(n):
+        return [rnd.choice(words) for _ in range(n)]
+
+    line = prose(14)
+    rows = [(k, " ".join(prose(40) + line + prose(40))) for k in range(200)]
+    pairs = []
+    for _ in range(12):
+        before, after = prose(40), prose(40)
+        texts = [before + line + after, changed_apart(rnd, words, before) + line + changed_apart(rnd, words, after)]
+        pairs.append((len(rows), len(rows) + 1))
+        rows += [(len(rows) + k, " ".join(prose(30) + text + prose(30))) for k, text in enumerate(texts)]
+    hashes = {k: {int(h) for h in seed_chains.seeds(w)[0]} for k, w in enumerate(seed_chains._words([t for _, t in rows]))}
+    expected = {(a, b) for a, b in pairs if hashes[a] & hashes[b]}
+    assert len(expected) > 3
+    found = {(r.doc_id, r.other_id) for r in seed_chains.passages(documents(rows).repartition(3)).collect()}
+    assert all((a, b) in found or (b, a) in found for a, b in expected), expected - found
+    assert {min(p) for p in found} <= {a for a, _ in pairs}
+
+
+def test_a_context_passes_what_alignment_finds():
+    """The test before alignment is passed by every lone match in a passage, and by few others."""
+    rnd = random.Random(23)
+    words = [int(k) for k in np.random.default_rng(3).integers(0, 2**63, 5000)]
+    none = np.zeros(0, np.int64)
+    hits = passed = 0
+    for k in range(600):
+        before, seed, after = ([rnd.choice(words) for _ in range(n)] for n in (rnd.randint(0, 40), seed_chains.SEED, rnd.randint(0, 40)))
+        x = [rnd.choice(words) for _ in range(8)] + before + seed + after + [rnd.choice(words) for _ in range(8)]
+        head = changed_apart(rnd, words, before)
+        y = head + seed + changed_apart(rnd, words, after) + [rnd.choice(words) for _ in range(8)]
+        p, q = 8 + len(before), len(head)
+        found = bool(seed_chains.alike_parts(seed_chains.align(x, y, [p], [q])[2]))
+        for (a, m), (b, n) in (((x, p), (y, q)), ((y, q), (x, p))):
+            inner = seed_chains._context(np.array(a, np.uint64), none.view(np.uint64), none, m)[0]
+            outer = seed_chains._context(np.array(b, np.uint64), none.view(np.uint64), none, n)[1]
+            assert not found or set(inner.tolist()) & set(outer.tolist())
+        other = [rnd.choice(words) for _ in range(60)]
+        outer = seed_chains._context(np.array(other, np.uint64), none.view(np.uint64), none, 25)[1]
+        passed += bool(set(inner.tolist()) & set(outer.tolist()))
+        hits += found
+    assert hits > 100 and not passed
+
+
 def test_recall_of_changed_passages(documents):
     """Passages with one word in so many changed at random places, each in two texts: what is found is stated."""
     rnd = random.Random(17)
