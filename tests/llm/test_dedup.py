@@ -447,7 +447,7 @@ def test_chains_find_exact_passages_among_frequent_lines(documents):
 
 def changed_apart(rnd, words, passage):
     """The passage with a word changed, left out or put in after every three to eight."""
-    out, left = [], rnd.randint(3, 8)
+    out, left = [], rnd.randint(4, 8)
     for w in passage:
         left -= 1
         if left:
@@ -466,12 +466,14 @@ def test_chains_find_changed_passages_around_a_frequent_line(documents):
     def prose(n):
         return [rnd.choice(words) for _ in range(n)]
 
-    line = prose(14)
+    line = prose(20)
     rows = [(k, " ".join(prose(40) + line + prose(40))) for k in range(200)]
     pairs = []
     for _ in range(12):
         before, after = prose(40), prose(40)
-        texts = [before + line + after, changed_apart(rnd, words, before) + line + changed_apart(rnd, words, after)]
+        ahead, behind = changed_apart(rnd, words, before[::-1])[::-1], changed_apart(rnd, words, after)
+        # The words next to the line differ, so no run of ten goes beyond it.
+        texts = [before + prose(1) + line + prose(1) + after, ahead + prose(1) + line + prose(1) + behind]
         pairs.append((len(rows), len(rows) + 1))
         rows += [(len(rows) + k, " ".join(prose(30) + text + prose(30))) for k, text in enumerate(texts)]
     hashes = {k: {int(h) for h in seed_chains.seeds(w)[0]} for k, w in enumerate(seed_chains._words([t for _, t in rows]))}
@@ -491,7 +493,7 @@ def test_a_context_passes_what_alignment_finds():
     for k in range(600):
         before, seed, after = ([rnd.choice(words) for _ in range(n)] for n in (rnd.randint(0, 40), seed_chains.SEED, rnd.randint(0, 40)))
         x = [rnd.choice(words) for _ in range(8)] + before + seed + after + [rnd.choice(words) for _ in range(8)]
-        head = changed_apart(rnd, words, before)
+        head = changed_apart(rnd, words, before[::-1])[::-1]
         y = head + seed + changed_apart(rnd, words, after) + [rnd.choice(words) for _ in range(8)]
         p, q = 8 + len(before), len(head)
         found = bool(seed_chains.alike_parts(seed_chains.align(x, y, [p], [q])[2]))
