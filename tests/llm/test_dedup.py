@@ -508,6 +508,60 @@ def test_a_context_passes_what_alignment_finds():
     assert hits > 100 and not passed
 
 
+def test_stretches_of_one_word_meet_at_both_ends(documents):
+    """Texts with one word over and over are linked through a reference, not each with each."""
+    rnd = random.Random(29)
+    words = [f"w{k}" for k in range(50_000)]
+    rows = []
+    for k in range(60):
+        ends = [[rnd.choice(words) for _ in range(rnd.randint(20, 40))] for _ in range(2)]
+        rows.append((k, " ".join(ends[0] + ["of"] * rnd.randint(60, 100) + ends[1])))
+    found = {(r.doc_id, r.other_id) for r in seed_chains.passages(documents(rows).repartition(3)).collect()}
+    assert len(found) <= 2 * len(rows)
+    linked, todo = set(), [0]
+    while todo:
+        a = todo.pop()
+        if a not in linked:
+            linked.add(a)
+            todo += [x + y - a for x, y in found if a in (x, y)]
+    assert linked == {k for k, _ in rows}
+
+
+def test_matches_are_tried_if_their_equal_words_go_on():
+    """What alignment finds passes, with one seed or two; a short line between other words does not."""
+    rnd = random.Random(31)
+    words = [int(k) for k in np.random.default_rng(5).integers(0, 2**63, 5000)]
+
+    def prose(n):
+        return [rnd.choice(words) for _ in range(n)]
+
+    def fits(x, y, pa, pb):
+        sides = ([], [])
+        for side, text, at in ((sides[0], x, pa), (sides[1], y, pb)):
+            text, at = np.array(text, np.uint64), np.array(at)
+            found = seed_chains.runs(text, seed_chains.SEED)[at]
+            side += [seed_chains._beside(text, found, at, p) for p in at]
+        return seed_chains.can_be_in_a_passage(*sides)
+
+    hits = 0
+    for k in range(600):
+        before, first, second, after = prose(rnd.randint(0, 40)), prose(seed_chains.SEED), prose(seed_chains.SEED), prose(rnd.randint(0, 40))
+        gaps = [prose(rnd.randint(1, 30)) for _ in range(2)] if k % 2 else [[], []]
+        head = changed_apart(rnd, words, before)
+        x = before + first + gaps[0] + second + after
+        y = head + first + gaps[1] + second + changed_apart(rnd, words, after)
+        pa, pb = ([len(b), len(b) + len(first) + len(g)] for b, g in ((before, gaps[0]), (head, gaps[1])))
+        start, _, steps = seed_chains.align(x, y, pa, pb)
+        parts = seed_chains.alike_parts(steps)
+        for p, fit in zip(pa, fits(x, y, pa, pb), strict=True):
+            inside = any(start + low <= p and p + seed_chains.SEED <= start + high for low, high, *_ in parts)
+            assert fit or not inside
+            hits += inside
+        line = prose(20)
+        assert not fits(prose(40) + line + prose(k % 40), prose(30) + line + prose(50), [43, 48], [33, 38]).any()
+    assert hits > 200
+
+
 def test_recall_of_changed_passages(documents):
     """Passages with one word in so many changed at random places, each in two texts: what is found is stated."""
     rnd = random.Random(17)
