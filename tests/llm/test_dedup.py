@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -320,6 +322,29 @@ def test_suffix_dedup_of_long_texts(documents, monkeypatch):
     assert suffix_rows(documents(rows)) == cut_brute(rows)
 
 
+def test_a_shard_sorts_a_few_anchors_at_a_time(monkeypatch):
+    """Memory is bounded by the suffixes that are sorted at once, however many stretches a shard holds."""
+    rnd = random.Random(8)
+    rows = []
+    for anchor in range(200):
+        text = rnd.randbytes(900)
+        for first in (0, rnd.randint(1, 300), rnd.randint(301, 500)):
+            rows.append((b"%d" % len(rows), anchor, len(rows), first, False, 3, text[first : first + 400 + rnd.randint(0, 100)]))
+    rows = pd.DataFrame(rows, columns=["name", "anchor", "stretch", "first", "closed", "kinds", "bytes"])
+    rows = rows.sample(frac=1, random_state=1)
+    found = {}
+    for size in (1, 1 << 14, 1 << 30):
+        monkeypatch.setattr(suffix_dedup, "SORT_BYTES", size)
+        found[size] = sorted(suffix_dedup._shard(rows).itertuples(index=False, name=None))
+    assert found[1] == found[1 << 14] == found[1 << 30] != []
+    monkeypatch.setattr(suffix_dedup, "SORT_BYTES", 1 << 14)
+    tracemalloc.start()
+    suffix_dedup._shard(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * rows["bytes"].map(len).sum()
+
+
 def test_suffix_dedup_edges(documents):
     rows = [(1, None), (2, ""), (3, "a" * 399), (4, "a" * 399), (None, "b" * 400), (5, "b" * 400), (5, "b" * 400)]
     rows += [(6, "c" * 401), (7, "d" * 400)]
