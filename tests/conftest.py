@@ -22,6 +22,8 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
         spark__default__parallelism="4",
         spark__driver__memory="4g",
+        # Plans name the paths they read; by default Spark cuts these off, sooner in a longer temporary folder.
+        spark__sql__maxMetadataStringLength="2000",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
