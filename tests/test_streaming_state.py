@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from datetime import timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -281,6 +283,44 @@ def test_a_run_at_an_interval_stops_when_idle(spark):
     assert spark.read.schema(SCHEMA).parquet(table).count() == 40
 
 
+class Looking:
+    """A query of one batch, whose triggers then look for files all the time and find none."""
+
+    def __init__(self, looks: int):
+        self.isActive, self.recentProgress, self.polls, self.looks = True, [], 0, looks
+
+    @property
+    def status(self):
+        return {"isTriggerActive": True, "isDataAvailable": self.polls == 3}
+
+    def processAllAvailable(self):
+        until = self.polls + self.looks
+        while self.isActive and self.polls < until:
+            time.sleep(0.001)
+
+    def stop(self):
+        self.isActive = False
+
+    def awaitTermination(self, poll=None):
+        if poll:
+            self.polls += 1
+            time.sleep(poll)
+        if self.polls == 4:
+            took = {"triggerExecution": 10}
+            self.recentProgress = [SimpleNamespace(numInputRows=5, batchId=0, timestamp="2024-01-01T00:00:00.000Z", durationMs=took)]
+        if self.polls > 500:
+            self.stop()
+            raise TimeoutError("it never counts as idle")
+
+
+@pytest.mark.parametrize("looks", [5, 50])
+def test_a_run_is_idle_although_triggers_always_look_for_files(looks):
+    query = Looking(looks)
+    batches = runs.run_until_idle(query, idle=0.1, poll=0.01)
+    assert [b[:2] for b in batches] == [(0, 5)]
+    assert looks < query.polls < 500  # not before a look has found nothing
+
+
 def test_a_larger_backlog_takes_larger_runs(spark):
     (landed,) = paths(spark, "landed")
     spark.range(1000).repartition(100).write.parquet(landed)
