@@ -587,6 +587,66 @@ def test_matches_are_tried_if_their_equal_words_go_on():
     assert hits > 200
 
 
+def test_matches_of_a_cell_are_those_that_can_be_in_a_passage(monkeypatch):
+    """All matches of a seed at once, without a row for each pair of places, are those that a look at each pair gives."""
+    monkeypatch.setattr(seed_chains, "FREQUENT", 3)
+    monkeypatch.setattr(seed_chains, "PLACES", 7)
+    rnd = random.Random(8)
+    size, rows = seed_chains.SEED, []
+    for k in range(24):  # stretches of one word over and over, as texts that have many seeds in common
+        text = np.array([w for _ in range(6) for w in [rnd.randint(1, 4)] * rnd.choice((13, 26))] + [100 + k], np.uint64)
+        found, at = seed_chains.seeds(text)
+        for seed, place in zip(found, at.tolist(), strict=True):
+            context = (c.tobytes() for c in seed_chains._context(text, found, at, place))
+            around = (*context, *seed_chains._beside(text, found, at, place))
+            rows.append((int(seed.view(np.int64)), 0, 0, bytes([0, k]), k, place, rnd.random() < 0.7, *around))
+    columns = ["seed", "row", "column", "name", "doc_id", "place", "open", "inner", "outer", "near", "beside", "seeds", "apart"]
+    right = seed_chains.pd.DataFrame(rows, columns=columns)
+    found = seed_chains._fitting(right[right["open"]].reset_index(drop=True), right)
+
+    def later(x, y):
+        """Whether the equal words before or behind the seeds are passed, and how many these are."""
+        x, y = np.frombuffer(x, "<u4").tolist(), np.frombuffer(y, "<u4").tolist()
+        n = next((i for i, (v, w) in enumerate(zip(x, y, strict=True)) if v != w or not v), len(x))
+        low = min(n, len(x) - 5)
+        threes = ((x[low + i : low + i + 3], y[low + j : low + j + 3]) for i, j in seed_chains._PASSED)
+        return any(v == w and 0 not in v for v, w in threes), n
+
+    def fits(r, o):
+        if not any(set(np.frombuffer(r[c], "<i8")) & set(np.frombuffer(o[d], "<i8")) for c, d in (("inner", "outer"), ("near", "near"))):
+            return False
+        half = 4 * seed_chains.BESIDE
+        (more, before), (also, behind) = later(r["beside"][:half], o["beside"][:half]), later(r["beside"][half:], o["beside"][half:])
+        (s, m), (t, n) = (([*np.frombuffer(v["seeds"], "<u4")], np.frombuffer(v["apart"], "i1").tolist()) for v in (r, o))
+        near = any(
+            v == w and i * j > 0 and not (i == j and -before <= i <= behind) for v, i in zip(s, m, strict=True) for w, j in zip(t, n, strict=True)
+        )
+        return more or also or before + size + behind >= seed_chains.MIN_WORDS or near
+
+    asked = [dict(zip(columns, r, strict=True)) for r in rows]
+    expected, tried = [], 0
+    for r in asked:
+        for o in asked if r["open"] else ():
+            if r["seed"] == o["seed"] and (r["name"] < o["name"] or r["name"] > o["name"] and not o["open"]):
+                tried += 1
+                a, b = sorted((r, o), key=lambda v: v["name"])
+                expected += [(a["name"], a["doc_id"], a["place"], b["name"], b["doc_id"], b["place"])] * fits(r, o)
+    assert sorted(found[["a", "id_a", "pa", "b", "id_b", "pb"]].itertuples(index=False, name=None)) == sorted(expected)
+    assert 500 < len(expected) < tried
+    assert len(seed_chains._fitting(right[:0], right)) == 0
+
+
+def test_only_first_alignments_tell_the_places_that_are_left():
+    text = np.arange(1, 101, dtype="<u4")
+    match = {"a": b"a", "b": b"b", "first_a": 0, "first_b": 0, "words_a": text.tobytes()}
+    match |= {"pa": np.array([45], "<i4").tobytes(), "pb": np.array([45], "<i4").tobytes()}
+    alone = np.where((text > 45) & (text <= 55), text, text + 1000).astype("<u4")
+    rows = seed_chains.pd.DataFrame([match | {"words_b": w.tobytes()} for w in (text, alone)])
+    both, rest = (next(f(iter([rows]))) for f in (seed_chains._align_rows, seed_chains._passage_rows))
+    assert both["other"].tolist() == [b"b", None] and both["start"].tolist() == [0, 45]
+    assert rest["other"].tolist() == [b"b"] and rest["start"].tolist() == [0]
+
+
 def test_recall_of_changed_passages(documents):
     """Passages with one word in so many changed at random places, each in two texts: what is found is stated."""
     rnd = random.Random(17)
